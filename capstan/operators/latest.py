@@ -6,10 +6,6 @@ shuffle, so each map task forwards at most one row per key: a key holding a
 third of the table costs one row per map task in the exchange, not a third
 of the table in one reducer.
 
-``latest_values`` answers several "latest row under condition X" lookups on
-the same key in one aggregation (one scan, one shuffle with map-side partial
-aggregation) instead of one window per lookup.
-
 ``ranked`` numbers all rows of each key (no limit).  A plain window would
 send a hot key to one task, so ranks are computed over range partitions of
 (key, order): a hot key is split across many tasks, each numbers its slice,
@@ -30,24 +26,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-def latest_values(df: DataFrame, keys: Sequence[str], lookups: dict[str, tuple[Column, Sequence[str], Sequence[str]]]
-                  ) -> DataFrame:
-    """One row per key with a struct per lookup.
-
-    ``lookups[name] = (condition, order_columns, value_columns)``: the struct
-    ``name`` holds ``value_columns`` of the row with the greatest
-    ``order_columns`` tuple among rows satisfying ``condition``.  NULL order
-    values rank lowest, as in a T-SQL ``ORDER BY ... DESC``; end
-    ``order_columns`` with a unique column.  The struct is NULL when no row
-    qualifies.
-    """
-    aggs = []
-    for name, (cond, order_cols, value_cols) in lookups.items():
-        ordering = F.when(cond, F.struct(*[F.col(c) for c in order_cols]))
-        aggs.append(F.max_by(F.struct(*[F.col(c) for c in value_cols]), ordering).alias(name))
-    return df.groupBy(*keys).agg(*aggs)
-
-
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank_col: str = "rank",
            slices: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` for every row, skew-safe.

@@ -8,9 +8,8 @@ Two different questions are asked of the part-tag history:
   enabled row of an enabled tag whose name matches a pattern?
   (enabled first, then existence)
 
-``tag_flags`` answers all four in one aggregation over the part-tag table
-(one scan, one shuffle keyed by part, partial aggregation before the
-shuffle), instead of one windowed scan per tag.
+``tag_flags`` answers all four with one top-1 window over the model-tag rows
+and one aggregation per part, instead of one windowed scan per tag.
 """
 
 from __future__ import annotations
@@ -48,23 +47,27 @@ def latest_enabled_tags(part_tag: DataFrame, tag_ids) -> DataFrame:
 def tag_flags(part_tag: DataFrame, tag: DataFrame, cfg: Config) -> DataFrame:
     """One row per tagged part: ``is_model_s``, ``is_model_x``, ``is_model_3``, ``is_energy``.
 
-    Flags are true/false (NULL when the part has no row for that tag), so a
-    left join from parts followed by ``coalesce(flag, false)`` gives the
-    membership tests of the report.
+    Model flags are true/false (NULL when the part has no row for that tag),
+    so a left join from parts followed by ``coalesce(flag, false)`` gives the
+    membership tests of the report.  Plan: the latest row per (part, model
+    tag) by a top-1 window (partial limit before its shuffle), united with the
+    enabled rows of matching named tags, then one boolean hash aggregation
+    per part (partial aggregation before its shuffle).
     """
-    named = named_tags(tag, cfg).withColumn("__named", F.lit(True))
     model_ids = (cfg.tag_model_s, cfg.tag_model_x, cfg.tag_model_3)
-    rows = (part_tag.select("PartID", "TagID", "Enabled", "CreateDate", "PartTagID")
-            .join(named, "TagID", "left")
-            .where(F.col("TagID").isin(*model_ids) | (F.col("__named") & (F.col("Enabled") == 1))))
-    latest = F.struct("CreateDate", "PartTagID")
+    latest = (latest_per_key(part_tag.where(F.col("TagID").isin(*model_ids)), ["PartID", "TagID"],
+                             [F.col("CreateDate").desc_nulls_last(), F.col("PartTagID").desc()])
+              .select("PartID", "TagID", (F.col("Enabled") == 1).alias("enabled"), F.lit(False).alias("named")))
+    named = (part_tag.where(F.col("Enabled") == 1).join(named_tags(tag, cfg), "TagID", "left_semi")
+             .select("PartID", "TagID", F.lit(None).cast("boolean").alias("enabled"), F.lit(True).alias("named")))
+    rows = latest.unionByName(named)
 
-    def latest_enabled(tag_id: int):
-        return F.max_by(F.col("Enabled") == 1, F.when(F.col("TagID") == tag_id, latest))
+    def model_flag(tag_id: int):
+        return F.max(F.when(~F.col("named") & (F.col("TagID") == tag_id), F.col("enabled")))
 
     return rows.groupBy("PartID").agg(
-        latest_enabled(cfg.tag_model_s).alias("is_model_s"),
-        latest_enabled(cfg.tag_model_x).alias("is_model_x"),
-        latest_enabled(cfg.tag_model_3).alias("is_model_3"),
-        F.bool_or(F.coalesce(F.col("__named"), F.lit(False)) & (F.col("Enabled") == 1)).alias("is_energy"),
+        model_flag(cfg.tag_model_s).alias("is_model_s"),
+        model_flag(cfg.tag_model_x).alias("is_model_x"),
+        model_flag(cfg.tag_model_3).alias("is_model_3"),
+        F.bool_or(F.col("named")).alias("is_energy"),
     )

@@ -10,7 +10,7 @@ Plan shape (current version)::
       ⟕ SIE user, manager; buyer users, manager     (user dimension)
       ⟕ capacity tasks (task 40)                    (fan-out: tasks per part-supplier)
       -> distinct info rows
-      ⟕ latest contract quote + latest current capacity (one aggregation over lines)
+      ⟕ latest contract quote, ⟕ latest current capacity (top-1 windows over lines)
 
 Every step before the task join is per part, so the program filter and the
 user lookups run on parts, not on tasks.  Left joins that contribute no
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from capstan import config as C
 from capstan.config import Config
 from capstan.functions.labels import capacity_status, effective_status, model_label, program_label, task_status
-from capstan.operators.latest import latest_per_key, latest_values, ranked
+from capstan.operators.latest import latest_per_key, ranked
 from capstan.operators.rollup import rollup_flags
 from capstan.operators.tags import tag_flags
 from capstan.operators.users import buyer_users, with_user
@@ -166,24 +166,17 @@ def latest_current_capacity(src: Sources, cfg: Config) -> DataFrame:
 
 
 def capacity_lines(src: Sources, cfg: Config) -> DataFrame:
-    """Both latest-line lookups in one pass: one row per task that has either kind of line.
+    """Both latest-line lookups side by side: one row per task that has either kind of line.
 
     Columns: PartSupplierTaskID, QuoteDate, Quoted, Other4CreateDate,
     Measured, Potential, Designed, Theoretical.
     """
-    is_quote = (F.col("CapacityType") == C.CAPACITY_CONTRACT) & F.col("Quoted").isNotNull()
-    is_current = (F.col("CapacityType") == C.CAPACITY_CURRENT) & _has_amount()
-    csl = (src["portal_capacity_line"].where(is_quote | is_current)
-           .withColumn("LatestUpdateDate", F.coalesce("ModifyDate", "CreateDate")))
-    order = ["ModifyDate", "CreateDate", "CapacityStudyLineID"]
-    agg = latest_values(csl, ["PartSupplierTaskID"], {
-        "q": (is_quote, order, ["LatestUpdateDate", "Quoted"]),
-        "c": (is_current, order, ["LatestUpdateDate", "Measured", "Potential", "Designed", "Theoretical"]),
-    })
-    return agg.select("PartSupplierTaskID", F.col("q.LatestUpdateDate").alias("QuoteDate"),
-                      F.col("q.Quoted").alias("Quoted"), F.col("c.LatestUpdateDate").alias("Other4CreateDate"),
-                      F.col("c.Measured").alias("Measured"), F.col("c.Potential").alias("Potential"),
-                      F.col("c.Designed").alias("Designed"), F.col("c.Theoretical").alias("Theoretical"))
+    q = latest_contract_quote(src, cfg).select("PartSupplierTaskID", F.col("LatestUpdateDate").alias("QuoteDate"),
+                                               "Quoted")
+    c = latest_current_capacity(src, cfg).select("PartSupplierTaskID",
+                                                 F.col("LatestUpdateDate").alias("Other4CreateDate"), "Measured",
+                                                 "Potential", "Designed", "Theoretical")
+    return q.join(c, "PartSupplierTaskID", "full")
 
 
 def measured_status(src: Sources, cfg: Config) -> DataFrame:
@@ -272,7 +265,12 @@ def capacity_data(src: Sources, cfg: Config, version: int = 2) -> DataFrame:
                     F.col("SupplierName").alias("CapSupplierName"),
                     F.col("LatestEndDate").alias("LatestEffectiveDate"))
             .distinct())
-    x = info.join(capacity_lines(src, cfg), "PartSupplierTaskID", "left")
+    q = latest_contract_quote(src, cfg).select("PartSupplierTaskID", F.col("LatestUpdateDate").alias("QuoteDate"),
+                                               "Quoted")
+    c = latest_current_capacity(src, cfg).select("PartSupplierTaskID",
+                                                 F.col("LatestUpdateDate").alias("Other4CreateDate"), "Measured",
+                                                 "Potential", "Designed", "Theoretical")
+    x = info.join(q, "PartSupplierTaskID", "left").join(c, "PartSupplierTaskID", "left")
     return x.select(*[F.col(c) for c in REPORT_COLUMNS if c not in ("MeasuredStatus", "DesignedStatus")],
                     capacity_status(F.col("Measured"), F.col("Quoted"), "Measured").alias("MeasuredStatus"),
                     capacity_status(F.col("Designed"), F.col("Quoted"), "Designed").alias("DesignedStatus")

@@ -1,8 +1,10 @@
 """Registry of the report queries over the driver test tables.
 
-``QUERIES[key](spark, sf_dir) -> DataFrame`` builds the domain tables from the
-driver parquet files in ``sf_dir`` (``Sources.fixtures``) and runs one
-operator or report with ``FIXTURE_CONFIG``.  Every query reads whole tables.
+``QUERIES[key](spark, sf_dir) -> DataFrame`` runs one operator or report with
+``FIXTURE_CONFIG`` over the domain tables derived from the driver parquet
+files in ``sf_dir``.  The derived tables are written once per session under
+``spark.checkpoint.dir`` (``Sources.stored_fixtures``) and read from there,
+like stored source tables.  Every query reads whole tables.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ SNAPSHOT_SCHEMA = StructType([StructField(n, StringType()) for n in
 
 
 def _src(spark: SparkSession, sf_dir: str) -> Sources:
-    return Sources.fixtures(spark, sf_dir)
+    return Sources.stored_fixtures(spark, sf_dir)
 
 
 def _on_src(fn) -> Query:

@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python call-site capture costs several JVM round trips per Column call
+    # while a plan is built; error messages lose the Python line only.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

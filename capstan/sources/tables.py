@@ -19,12 +19,17 @@ erp_part_unit_conv erp_buyer_mgr``.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from capstan.session import scratch_path
 from capstan.sources import fixtures
 
+_STORED: dict[tuple[str, str], str] = {}
+_STORED_LOCK = threading.Lock()
+
 
 class Sources:
     def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame]):
@@ -89,3 +94,33 @@ class Sources:
         src = cls(spark, load)
         holder["src"] = src
         return src
+
+    @classmethod
+    def stored_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Sources":
+        """The derived test tables written once per session and test folder, then read as parquet.
+
+        Each table is derived from already written inputs (dependency
+        order), so the de-duplicated line table is computed once instead of
+        once per consumer, and reports scan stored tables as they would in
+        production.  The folder lies under ``spark.checkpoint.dir``.
+        """
+        sf_dir = sf_dir.rstrip("/")
+        key = (spark.sparkContext.applicationId, sf_dir)
+        with _STORED_LOCK:
+            root = _STORED.get(key)
+            if root is None:
+                root = scratch_path(spark, "fixtures")
+                written: dict[str, str] = {}
+
+                def table(n: str) -> DataFrame:
+                    if n in fixtures.DRIVER_TABLES:
+                        return spark.read.parquet(f"{sf_dir}/{n}.parquet")
+                    return spark.read.parquet(written[n])
+
+                for n in fixtures.closure(fixtures.ADAPTERS):
+                    ad = fixtures.ADAPTERS[n]
+                    df = spark.sql(fixtures.render(n, "spark"), **{i: table(i) for i in ad.inputs})
+                    df.write.mode("overwrite").parquet(f"{root}/{n}")
+                    written[n] = f"{root}/{n}"
+                _STORED[key] = root
+        return cls.parquet(spark, root)
