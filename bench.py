@@ -38,7 +38,7 @@ HEADLINE = [
     "part_tag_flags",
     "ranked_scored_tasks",
 ]
-SIDE_EFFECTS = {"snapshot_append", "report_write"}
+SIDE_EFFECTS = {"snapshot_append", "snapshot_stream", "report_write"}
 
 
 def main() -> None:

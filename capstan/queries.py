@@ -24,6 +24,7 @@ from capstan.plans import reports as rep
 from capstan.session import scratch_path
 from capstan.sources import Sources
 from capstan.sources.files import sql_file_report
+from capstan.streaming import accumulate_snapshots, land_increment, read_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +91,17 @@ def _snapshot_append(spark, sf_dir):
     return read_snapshot(spark, path, SNAPSHOT_SCHEMA)
 
 
+def _snapshot_stream(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    base = scratch_path(spark, "snapshot-stream")
+    landing, table, ckpt = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
+    land_increment(s["snapshot_history"], landing, SNAPSHOT_SCHEMA)
+    accumulate_snapshots(spark, landing, table, ckpt, SNAPSHOT_SCHEMA).awaitTermination()
+    land_increment(s["snapshot_increment"], landing, SNAPSHOT_SCHEMA)
+    accumulate_snapshots(spark, landing, table, ckpt, SNAPSHOT_SCHEMA).awaitTermination()
+    return read_snapshots(spark, table, SNAPSHOT_SCHEMA)
+
+
 def _report_write(spark, sf_dir):
     s = _src(spark, sf_dir)
     path = scratch_path(spark, "report")
@@ -153,6 +165,7 @@ QUERIES: dict[str, Query] = {
     "dashboard_left_merge": _dashboard_left_merge,
     "qualification_left_merge": _qualification_left_merge,
     "snapshot_append": _snapshot_append,
+    "snapshot_stream": _snapshot_stream,
     "report_write": _report_write,
     "sql_file_report": _sql_file_report,
 }
