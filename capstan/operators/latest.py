@@ -10,6 +10,8 @@ of the table in one reducer.
 send a hot key to one task, so ranks are computed over range partitions of
 (key, order): a hot key is split across many tasks, each numbers its slice,
 and a per-slice count prefix (one row per key and slice) supplies the offset.
+The sliced rows are checkpointed so that the numbering and the counts see
+the same slices.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from capstan.session import ensure_checkpoint_dir
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Top row per ``keys`` by ``order`` (give a unique column last to break ties)."""
@@ -36,8 +40,13 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank_col
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_cols = [F.col(k) for k in keys]
     # 1. range-partition on (keys, order): rows of one key are spread over
-    #    consecutive slices in rank order; a hot key spans many slices.
-    sliced = df.repartitionByRange(n, *key_cols, *order).withColumn("__slice", F.spark_partition_id())
+    #    consecutive slices in rank order; a hot key spans many slices.  The
+    #    slice boundaries come from sampling, so the sliced rows are
+    #    checkpointed (shared checkpoint folder): both branches below read
+    #    the same slices even if a stage is recomputed.
+    ensure_checkpoint_dir(spark)
+    sliced = (df.repartitionByRange(n, *key_cols, *order).withColumn("__slice", F.spark_partition_id())
+              .checkpoint(eager=True))
     # 2. number rows inside (key, slice); a group is at most one slice.
     local_w = Window.partitionBy(*keys, "__slice").orderBy(*order)
     local = sliced.withColumn("__local", F.row_number().over(local_w))

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from capstan import config as C
 from capstan.config import Config
 from capstan.functions.labels import capacity_status, effective_status, model_label, program_label, task_status
+from capstan.operators.joins import left_join_fanout
 from capstan.operators.latest import latest_per_key, ranked
 from capstan.operators.rollup import rollup_flags
 from capstan.operators.tags import tag_flags
@@ -221,7 +222,8 @@ def info_rows(src: Sources, cfg: Config, version: int = 2, users: bool = True,
         x = with_user(x, all_users, on="SIEUserID", user_key="UserID", name_as="SIE", manager_as="SIEManager")
         x = with_user(x, buyer_users(all_users, cfg), on="BuyerCode", user_key="SAPUserID", name_as="GSM",
                       manager_as="GSMManager", managers=all_users)
-    x = x.join(capacity_tasks(src, cfg), "PartSupplierID", "left")
+    # tasks per part-supplier: the fan-out join, safe against a hot part-supplier
+    x = left_join_fanout(x, capacity_tasks(src, cfg), ["PartSupplierID"])
     rollup = None
     if version == 1:
         r = _prefixed(rollup_flags(src["portal_task"], cfg), "cap_")
