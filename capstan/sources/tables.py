@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from capstan.session import scratch_path
 from capstan.sources import fixtures
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str], "Sources"] = {}
 _STORED_LOCK = threading.Lock()
 
 
@@ -107,8 +107,8 @@ class Sources:
         sf_dir = sf_dir.rstrip("/")
         key = (spark.sparkContext.applicationId, sf_dir)
         with _STORED_LOCK:
-            root = _STORED.get(key)
-            if root is None:
+            stored = _STORED.get(key)
+            if stored is None:
                 root = scratch_path(spark, "fixtures")
                 written: dict[str, str] = {}
 
@@ -122,5 +122,7 @@ class Sources:
                     df = spark.sql(fixtures.render(n, "spark"), **{i: table(i) for i in ad.inputs})
                     df.write.mode("overwrite").parquet(f"{root}/{n}")
                     written[n] = f"{root}/{n}"
-                _STORED[key] = root
-        return cls.parquet(spark, root)
+                # one Sources per session and folder: each table's DataFrame
+                # (file listing, footer schema) is created once and reused
+                stored = _STORED[key] = cls.parquet(spark, root)
+        return stored
