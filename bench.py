@@ -6,9 +6,10 @@ registered query instead of the headline set.
 
 The domain tables derived from the driver tables are written once first
 (``fixture_build``), as stored source tables would exist in production.  Per
-query, the DataFrame is built once (``build``: Python plan construction and
-eager analysis), executed once to warm up, then BENCH_RUNS times
-(``execute_median``).  ``queries[k] = build + execute_median``; ``value`` is
+query, the DataFrame is built twice and the second build is timed (``build``:
+Python plan construction and eager analysis), then executed once to warm up
+and BENCH_RUNS times (``execute_median``).  One small query runs first to warm
+up the JVM.  ``queries[k] = build + execute_median``; ``value`` is
 their sum.  Execution writes to Spark's ``noop`` sink: every row is produced,
 nothing is collected to the driver.  Prints one JSON line.
 """
@@ -55,10 +56,12 @@ def main() -> None:
     Sources.stored_fixtures(spark, sf_dir)          # derived test tables, written once
     fixture_sec = round(time.perf_counter() - t, 3)
     keys = [k for k in QUERIES if k not in SIDE_EFFECTS] if os.environ.get("BENCH_ALL") else HEADLINE
+    QUERIES["capacity_lines"](spark, sf_dir).write.format("noop").mode("overwrite").save()   # JVM warm-up
     total: dict[str, float] = {}
     execute: dict[str, float] = {}
     build: dict[str, float] = {}
     for k in keys:
+        QUERIES[k](spark, sf_dir)                   # first build loads classes for this plan shape
         t = time.perf_counter()
         df = QUERIES[k](spark, sf_dir)              # plan construction (eager analysis)
         build[k] = round(time.perf_counter() - t, 3)

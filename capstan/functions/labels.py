@@ -17,8 +17,13 @@ from capstan import config as C
 
 
 def ts_lit(value: dt.datetime) -> Column:
-    """Wall-clock timestamp literal (timestamp_ntz, like the parquet columns)."""
-    return F.lit(value).cast("timestamp_ntz")
+    """Wall-clock timestamp literal (timestamp_ntz, like the parquet columns).
+
+    Built from text: a Python ``datetime`` literal would pass through the
+    driver's local time zone and the session time zone on its way to
+    timestamp_ntz and could shift when the two differ.
+    """
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def effective_status(as_of: dt.datetime, start: Column, end: Column) -> Column:

@@ -83,3 +83,15 @@ def test_date_helpers():
     assert d > elapsed_cutoff(as_of, 7)
     assert not d >= calendar_cutoff(as_of, 7)
     assert dt.datetime(2020, 1, 2, 0) >= calendar_cutoff(as_of, 7)
+
+
+def test_ts_lit_is_wall_clock_in_any_session_zone(spark):
+    from capstan.functions import ts_lit
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = spark.range(1).select(ts_lit(AS_OF).cast("string").alias("t")).first().t
+            assert got == "1998-06-15 12:00:00", (tz, got)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
