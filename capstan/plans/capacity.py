@@ -141,11 +141,11 @@ def task_status_v2(src: Sources, cfg: Config) -> DataFrame:
 def task_status_v1(src: Sources, cfg: Config) -> DataFrame:
     """Earlier task status (rollup flags OR-ed in, no PCR branch), distinct per task name."""
     ps = src["portal_part_supplier"].select("PartSupplierID", "PPAPStatus", "IsPartDefined")
-    r = _prefixed(rollup_flags(src["portal_task"], cfg), "cap_")
+    r = _prefixed(rollup_flags(src["portal_task"], cfg), "roll_")
     x = (ps.join(capacity_tasks(src, cfg), "PartSupplierID", "left")
-         .join(r, F.col("PartSupplierID") == F.col("cap_PartSupplierID"), "left"))
-    return x.select("PartSupplierID", "PartSupplierTaskID", F.col("cap_TaskName").alias("TaskName"),
-                    _task_status(x, "cap_", False).alias("TaskStatus")).distinct()
+         .join(r, F.col("PartSupplierID") == F.col("roll_PartSupplierID"), "left"))
+    return x.select("PartSupplierID", "PartSupplierTaskID", F.col("roll_TaskName").alias("TaskName"),
+                    _task_status(x, "roll_", False).alias("TaskStatus")).distinct()
 
 
 def latest_contract_quote(src: Sources, cfg: Config) -> DataFrame:
@@ -226,14 +226,14 @@ def info_rows(src: Sources, cfg: Config, version: int = 2, users: bool = True,
     x = left_join_fanout(x, capacity_tasks(src, cfg), ["PartSupplierID"])
     rollup = None
     if version == 1:
-        r = _prefixed(rollup_flags(src["portal_task"], cfg), "cap_")
-        x = x.join(r, F.col("PartSupplierID") == F.col("cap_PartSupplierID"), "left")
-        rollup = "cap_"
+        r = _prefixed(rollup_flags(src["portal_task"], cfg), "roll_")
+        x = x.join(r, F.col("PartSupplierID") == F.col("roll_PartSupplierID"), "left")
+        rollup = "roll_"
     elif version == 3:
-        r = _prefixed(rollup_flags(src["portal_task"], cfg, task_id=cfg.capacity_task_id), "cap_")
-        cond = (F.col("PartSupplierID") == F.col("cap_PartSupplierID")) & (F.col("TaskID") == cfg.capacity_task_id)
+        r = _prefixed(rollup_flags(src["portal_task"], cfg, task_id=cfg.capacity_task_id), "roll_")
+        cond = (F.col("PartSupplierID") == F.col("roll_PartSupplierID")) & (F.col("TaskID") == cfg.capacity_task_id)
         x = x.join(r, cond, "left")
-        rollup = "cap_"
+        rollup = "roll_"
     return x.select(
         "*",
         F.col("Description").alias("PartDescription"),

@@ -38,7 +38,7 @@ PRICE_COLUMNS = ["PurchaseOrderTypeID", "PurchaseOrderLineID", "PartNumber", "Un
 CURRENT_PRICE_COLUMNS = ["PartNumber", "PurchaseOrderTypeID", "SupplierCode", "SupplierName", "UnitPrice",
                          "CurrencyCode", "CurrencyName", "ExchangeRate", "PurchaseUnitID", "StockUnitID", "PartID"]
 
-RPN_COLUMNS = ["DetailPartNumber", "PartDescription", "PartID", "PartSystem", "BuyerCode", "FabricatedFlag",
+REQUIRED_PART_COLUMNS = ["DetailPartNumber", "PartDescription", "PartID", "PartSystem", "BuyerCode", "FabricatedFlag",
                "PurchasedFlag", "SubContractFlag", "PreferredSupplierCode", "PreferredSupplierName"]
 
 QPV_COLUMNS = ["PartNumber", "QPVPartDescription", "PartID", "PartSystem", "SupplierCode", "QPVSupplierName",
@@ -58,9 +58,9 @@ def recent_bom_parts(src: Sources, cfg: Config) -> DataFrame:
     s2 = src["erp_supplier"].select(F.col("SupplierID").alias("__sid"),
                                     F.col("SupplierCode").alias("PreferredSupplierCode"),
                                     F.col("Name").alias("PreferredSupplierName"))
-    rpn = (pn.join(p, F.col("DetailPartNumber") == F.col("__pn"), "left")
-           .join(s2, F.col("PreferredSupplierID") == F.col("__sid"), "left"))
-    return rpn.select(*RPN_COLUMNS)
+    required = (pn.join(p, F.col("DetailPartNumber") == F.col("__pn"), "left")
+                .join(s2, F.col("PreferredSupplierID") == F.col("__sid"), "left"))
+    return required.select(*REQUIRED_PART_COLUMNS)
 
 
 def bom_usage_latest(src: Sources, cfg: Config) -> DataFrame:
@@ -70,9 +70,9 @@ def bom_usage_latest(src: Sources, cfg: Config) -> DataFrame:
     newest = e.select(F.max("BOMExplosionDate")).scalar()
     e = e.where((F.col("BOMExplosionDate") == newest)
                 & (F.col("BOMExplosionDate") >= ts_lit(calendar_cutoff(as_of, cfg.recent_days))))
-    ss = (src["erp_bom_sample"].where(F.col("CreateDate") >= ts_lit(cfg.sample_cutoff))
+    samples = (src["erp_bom_sample"].where(F.col("CreateDate") >= ts_lit(cfg.sample_cutoff))
           .select("SalesBOMSampleID", "Name"))
-    u = (e.join(ss, "SalesBOMSampleID", "inner")
+    u = (e.join(samples, "SalesBOMSampleID", "inner")
          .groupBy("SalesBOMSampleID", "BOMExplosionDate", "Name", "DetailPartNumber", "UsageType")
          .agg(F.sum("RunningQuantity").cast("bigint").alias("Quantity")))
     return u.select("Name", "DetailPartNumber", "UsageType", "Quantity")
@@ -145,37 +145,37 @@ def date_based_prices(src: Sources, cfg: Config) -> DataFrame:
     multiplied by the reverse part-specific unit factor.
     """
     cfg = cfg.fixed()
-    pdp = src["erp_date_pricing"].where(F.col("StartDate") < ts_lit(cfg.date_pricing_cutoff))
-    latest = latest_per_key(pdp, ["PartID", "SupplierID"],
+    pricing = src["erp_date_pricing"].where(F.col("StartDate") < ts_lit(cfg.date_pricing_cutoff))
+    latest = latest_per_key(pricing, ["PartID", "SupplierID"],
                             [F.col("StartDate").desc_nulls_last(), F.col("PartSupplierDatePricingID").desc()])
     latest = latest.select(F.col("PartID").alias("LinePartID"), F.col("SupplierID").alias("POSupplierID"),
                            F.col("CurrencyID").alias("PricingCurrencyID"),
                            F.col("UnitPrice").cast("double").alias("PricingPrice"))
     lines = _date_priced_lines(src, cfg, nonzero_price=True)
-    pa = src["erp_part"].select(F.col("PartID").alias("LinePartID"), "PartNumber", "StockUnitID")
-    su = src["erp_supplier"].select(F.col("SupplierID").alias("POSupplierID"), "SupplierCode",
+    parts = src["erp_part"].select(F.col("PartID").alias("LinePartID"), "PartNumber", "StockUnitID")
+    suppliers = src["erp_supplier"].select(F.col("SupplierID").alias("POSupplierID"), "SupplierCode",
                                     F.col("Name").alias("SupplierName"))
     units = src["erp_unit"].select("UnitID")
-    cu = src["erp_currency"].select(F.col("CurrencyID").alias("POCurrencyID"), "CurrencyCode",
+    currencies = src["erp_currency"].select(F.col("CurrencyID").alias("POCurrencyID"), "CurrencyCode",
                                     F.col("Name").alias("CurrencyName"))
-    puc = src["erp_part_unit_conv"]
-    uc1 = puc.select(F.col("PartID").alias("__u1p"), F.col("FromUnitID").alias("__u1f"),
-                     F.col("ToUnitID").alias("__u1t"), F.col("ConversionFactor").cast("double").alias("CF1"))
-    uc2 = puc.select(F.col("PartID").alias("__u2p"), F.col("FromUnitID").alias("__u2f"),
-                     F.col("ToUnitID").alias("__u2t"), F.col("ConversionFactor").cast("double").alias("CF2"))
-    er = month_end_fx(src, cfg).select(F.col("FromCurrencyID").alias("__erf"), F.col("ToCurrencyID").alias("__ert"),
+    part_conv = src["erp_part_unit_conv"]
+    conv_fwd = part_conv.select(F.col("PartID").alias("__fp"), F.col("FromUnitID").alias("__ff"),
+                     F.col("ToUnitID").alias("__ft"), F.col("ConversionFactor").cast("double").alias("CF1"))
+    conv_rev = part_conv.select(F.col("PartID").alias("__rp"), F.col("FromUnitID").alias("__rf"),
+                     F.col("ToUnitID").alias("__rt"), F.col("ConversionFactor").cast("double").alias("CF2"))
+    rates = month_end_fx(src, cfg).select(F.col("FromCurrencyID").alias("__xf"), F.col("ToCurrencyID").alias("__xt"),
                                        F.col("ExchangeRate").alias("__rate"))
     x = (lines.join(latest, ["LinePartID", "POSupplierID"], "inner")
-         .join(pa, "LinePartID", "inner")
-         .join(su, "POSupplierID", "inner")
+         .join(parts, "LinePartID", "inner")
+         .join(suppliers, "POSupplierID", "inner")
          .join(units, F.col("StockUnitID") == F.col("UnitID"), "left_semi")
          .join(units, F.col("PurchaseUnitID") == F.col("UnitID"), "left_semi")
-         .join(cu, "POCurrencyID", "inner")
-         .join(uc1, (F.col("__u1f") == F.col("StockUnitID")) & (F.col("__u1t") == F.col("PurchaseUnitID"))
-               & (F.col("__u1p") == F.col("LinePartID")), "left")
-         .join(uc2, (F.col("__u2t") == F.col("StockUnitID")) & (F.col("__u2f") == F.col("PurchaseUnitID"))
-               & (F.col("__u2p") == F.col("LinePartID")), "left")
-         .join(er, (F.col("__erf") == F.col("PricingCurrencyID")) & (F.col("__ert") == F.col("POCurrencyID")), "left"))
+         .join(currencies, "POCurrencyID", "inner")
+         .join(conv_fwd, (F.col("__ff") == F.col("StockUnitID")) & (F.col("__ft") == F.col("PurchaseUnitID"))
+               & (F.col("__fp") == F.col("LinePartID")), "left")
+         .join(conv_rev, (F.col("__rt") == F.col("StockUnitID")) & (F.col("__rf") == F.col("PurchaseUnitID"))
+               & (F.col("__rp") == F.col("LinePartID")), "left")
+         .join(rates, (F.col("__xf") == F.col("PricingCurrencyID")) & (F.col("__xt") == F.col("POCurrencyID")), "left"))
     rate = F.when(F.col("PricingCurrencyID") == F.col("POCurrencyID"), F.lit(1.0)) \
         .otherwise(F.coalesce(F.col("__rate"), F.lit(1.0)))
     base = F.col("PricingPrice") * F.col("ExchangeRate")
@@ -209,34 +209,34 @@ def unit_conversion(src: Sources, cfg: Config) -> DataFrame:
 def qpv_data(src: Sources, cfg: Config) -> DataFrame:
     """QPV/CPV report: one row per required part × usage line (distinct)."""
     cfg = cfg.fixed()
-    rpn = recent_bom_parts(src, cfg)
-    june = current_price(src, cfg)
-    june = june.select(*[F.col(c).alias("june_" + c) for c in june.columns])
+    required = recent_bom_parts(src, cfg)
+    price = current_price(src, cfg)
+    price = price.select(*[F.col(c).alias("price_" + c) for c in price.columns])
     usage = bom_usage_latest(src, cfg).select(F.col("DetailPartNumber").alias("__upn"), "Quantity")
-    bmd = src["erp_buyer_mgr"].select(F.col("BuyerCode").alias("__bc"), "Buyer", "Manager")
+    buyers = src["erp_buyer_mgr"].select(F.col("BuyerCode").alias("__bc"), "Buyer", "Manager")
     # The divisor is evaluated on the joined row: a part without a current
     # price has no purchase unit, hence divisor 1 (quantity passes through).
-    priced = with_unit_divisor(rpn.join(june, F.col("DetailPartNumber") == F.col("june_PartNumber"), "left"),
-                               src["erp_unit_conv"], src["erp_part_unit_conv"], part="june_PartID",
-                               stock="june_StockUnitID", purchase="june_PurchaseUnitID", out="june_UnitDivisor")
-    eve = (priced.join(usage, F.col("__upn") == F.col("DetailPartNumber"), "left")
-           .join(bmd, F.col("BuyerCode") == F.col("__bc"), "left"))
-    qpv = F.coalesce(F.col("Quantity") / F.col("june_UnitDivisor"), F.lit(0.0))
-    rate = F.coalesce(F.col("june_ExchangeRate"), F.lit(1.0))
-    out = eve.select(
+    priced = with_unit_divisor(required.join(price, F.col("DetailPartNumber") == F.col("price_PartNumber"), "left"),
+                               src["erp_unit_conv"], src["erp_part_unit_conv"], part="price_PartID",
+                               stock="price_StockUnitID", purchase="price_PurchaseUnitID", out="price_UnitDivisor")
+    rows = (priced.join(usage, F.col("__upn") == F.col("DetailPartNumber"), "left")
+            .join(buyers, F.col("BuyerCode") == F.col("__bc"), "left"))
+    qpv = F.coalesce(F.col("Quantity") / F.col("price_UnitDivisor"), F.lit(0.0))
+    rate = F.coalesce(F.col("price_ExchangeRate"), F.lit(1.0))
+    out = rows.select(
         F.col("DetailPartNumber").alias("PartNumber"),
         F.col("PartDescription").alias("QPVPartDescription"),
         "PartID", "PartSystem",
-        F.coalesce("june_SupplierCode", "PreferredSupplierCode").alias("SupplierCode"),
-        F.coalesce("june_SupplierName", "PreferredSupplierName").alias("QPVSupplierName"),
+        F.coalesce("price_SupplierCode", "PreferredSupplierCode").alias("SupplierCode"),
+        F.coalesce("price_SupplierName", "PreferredSupplierName").alias("QPVSupplierName"),
         "Buyer", "Manager",
-        F.col("june_PurchaseOrderTypeID").alias("POType"),
-        F.col("june_PurchaseUnitID").alias("PurchaseUnitID"),
-        F.col("june_StockUnitID").alias("StockUnitID"),
-        F.col("june_UnitPrice").alias("UnitPrice"),
+        F.col("price_PurchaseOrderTypeID").alias("POType"),
+        F.col("price_PurchaseUnitID").alias("PurchaseUnitID"),
+        F.col("price_StockUnitID").alias("StockUnitID"),
+        F.col("price_UnitPrice").alias("UnitPrice"),
         rate.alias("ExchangeRate"),
         qpv.alias("PartQuantityPerVehicle"),
-        (F.col("june_UnitPrice") * rate * qpv).alias("CPV"),
+        (F.col("price_UnitPrice") * rate * qpv).alias("CPV"),
         "FabricatedFlag",
         F.coalesce("PurchasedFlag", "SubContractFlag").alias("NonFabricated"),
     )
