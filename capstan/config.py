@@ -77,6 +77,7 @@ class Config:
     tag_model_3: int = 124
     named_tag_pattern: str = "%Stationary Energy%"
     named_tag_type_id: int = 2
+    energy_label: str = MODEL_ENERGY          # model label of parts carrying the named tag
     excluded_user_ids: tuple[int, ...] = (2586, 2583, 2584)
     # task names that count towards the v1 status rollup:
     # name LIKE any of ``rollup_any`` OR name LIKE all of ``rollup_all``

@@ -87,7 +87,7 @@ def model_labels(src: Sources, cfg: Config) -> DataFrame:
     f = part_tag_flags(src, cfg)
     p = src["portal_part"].select("PartID").join(f, "PartID", "left")
     return p.select("PartID", model_label(F.col("is_model_3"), F.col("is_model_x"), F.col("is_model_s"),
-                                          F.col("is_energy")).alias("Model"))
+                                          F.col("is_energy"), cfg.energy_label).alias("Model"))
 
 
 def program_labels(src: Sources, cfg: Config) -> DataFrame:
@@ -244,7 +244,7 @@ def info_rows(src: Sources, cfg: Config, version: int = 2, users: bool = True,
         F.when(flags[2], F.col("PartID")).alias("PartID3"),
         F.when(flags[3], F.col("PartID")).alias("PartIDte"),
         _task_status(x, rollup, version == 2).alias("TaskStatus"),
-        model_label(flags[2], flags[1], flags[0], flags[3]).alias("Model"),
+        model_label(flags[2], flags[1], flags[0], flags[3], cfg.energy_label).alias("Model"),
         program_label(F.col("ProgramTag"), flags[2], flags[0], flags[1], flags[3]).alias("Program"),
     )
 
