@@ -64,8 +64,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/capstan/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def as_local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "scratch_path", "as_local_path"]
+__all__ = ["DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "scratch_path"]
