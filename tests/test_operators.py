@@ -139,3 +139,31 @@ def test_left_join_fanout_equals_left_join(spark):
     want = sorted((tuple(r) for r in left.join(right, ["k"], "left").collect()), key=lambda t: (t[0] or -1, t[1], t[2] or ""))
     assert got == want
     assert left_join_fanout(left, right, ["k"]).columns == ["k", "l", "r"]
+
+
+def test_left_join_fanout_lets_aqe_split_a_hot_key(spark):
+    """A right-side key with a third of the rows: only the fan-out form gets a skew-split join."""
+    from capstan.operators import left_join_fanout
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        left = spark.range(200).select(F.col("id").alias("k"), F.lit("x").alias("l"))
+        right = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 200).alias("k"), F.col("id").alias("r"))
+        fan = left_join_fanout(left, right, ["k"])
+        plain = left.join(right, ["k"], "left")
+        assert len(fan.collect()) == len(plain.collect()) == 30000
+        assert "skew=true" in fan._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" not in plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
