@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def null_safe_merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                    suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
+                    suffixes: tuple[str, str] = ("_x", "_y"), hot_right_keys: bool = False) -> DataFrame:
     """Join like ``pandas.merge(left, right, on=on, how=how, suffixes=suffixes)``.
 
     * keys compare with ``<=>``, so NULL matches NULL (pandas behaviour);
@@ -17,6 +17,12 @@ def null_safe_merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     * one copy of each key column (the left one, coalesced for right/outer)
     * non-key columns present on both sides get ``suffixes``
     * column order: left columns, then right non-key columns
+
+    ``hot_right_keys=True`` (left merges) runs the merge as an inner join
+    plus an anti join against the de-duplicated right keys, so adaptive
+    execution can split a right-side key holding a large share of the rows
+    (a left outer join can only be split on its left side).  The left input
+    is read by both branches; use it where the left side is cheap to read.
     """
     on = list(on)
     lcols, rcols = left.columns, right.columns
@@ -26,7 +32,13 @@ def null_safe_merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
            [F.col(c).alias(c + suffixes[1] if c in shared else c) for c in rcols if c not in on]
     l, r = left.select(*lsel), right.select(*rsel)
     cond = [F.col(k).eqNullSafe(F.col(f"__rk_{k}")) for k in on]
-    joined = l.join(r, cond, {"left": "left", "inner": "inner", "right": "right", "outer": "full"}[how])
+    if hot_right_keys and how == "left":
+        matched = l.join(r, cond, "inner")
+        keys = r.select(*[f"__rk_{k}" for k in on]).distinct()
+        unmatched = l.join(keys, cond, "left_anti")
+        joined = matched.unionByName(unmatched, allowMissingColumns=True)
+    else:
+        joined = l.join(r, cond, {"left": "left", "inner": "inner", "right": "right", "outer": "full"}[how])
     out = []
     for c in l.columns:
         if c in on and how in ("right", "outer"):

@@ -15,8 +15,10 @@ def merged_capacity_cost(src: Sources, cfg: Config) -> DataFrame:
     """Capacity report (current version) left-merged with QPV/CPV on (PartNumber, SupplierCode).
 
     42 columns; ``PartID`` is on both sides and becomes ``PartID_x`` /
-    ``PartID_y``.  Both halves are one lazy plan, so Catalyst and AQE plan
-    them together and nothing is materialised in between.
+    ``PartID_y``.  The QPV side has at most a few rows per (part, supplier)
+    (one per usage line), so the merge is a plain left join.  Both halves
+    are one lazy plan, so Catalyst and AQE plan them together and nothing is
+    materialised in between.
     """
     cfg = cfg.fixed()
     return null_safe_merge(capacity_data(src, cfg, version=2), qpv_data(src, cfg), ["PartNumber", "SupplierCode"],
@@ -25,14 +27,14 @@ def merged_capacity_cost(src: Sources, cfg: Config) -> DataFrame:
 
 def three_key_merge(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left merge on (PartNumber, SupplierCode, TagName)."""
-    return null_safe_merge(left, right, ["PartNumber", "SupplierCode", "TagName"], how="left")
+    return null_safe_merge(left, right, ["PartNumber", "SupplierCode", "TagName"], how="left", hot_right_keys=True)
 
 
 def dashboard_left_merge(portal: DataFrame, erp: DataFrame) -> DataFrame:
     """Portal rows left-merged with ERP rows on PartNumber."""
-    return null_safe_merge(portal, erp, ["PartNumber"], how="left")
+    return null_safe_merge(portal, erp, ["PartNumber"], how="left", hot_right_keys=True)
 
 
 def qualification_left_merge(erp: DataFrame, portal: DataFrame) -> DataFrame:
     """ERP rows left-merged with portal rows on (partnumber, suppliercode)."""
-    return null_safe_merge(erp, portal, ["partnumber", "suppliercode"], how="left")
+    return null_safe_merge(erp, portal, ["partnumber", "suppliercode"], how="left", hot_right_keys=True)

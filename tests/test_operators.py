@@ -167,3 +167,12 @@ def test_left_join_fanout_lets_aqe_split_a_hot_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_null_safe_merge_hot_right_keys_same_rows(spark):
+    left = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, v int")
+    right = spark.createDataFrame([("a", 10)] * 20 + [(None, 20), (None, 21), ("c", 30)], "k string, v int")
+    plain = null_safe_merge(left, right, ["k"])
+    hot = null_safe_merge(left, right, ["k"], hot_right_keys=True)
+    assert hot.columns == plain.columns == ["k", "v_x", "v_y"]
+    assert sorted(map(str, hot.collect())) == sorted(map(str, plain.collect()))
