@@ -68,3 +68,14 @@ def test_parts_list_and_parts_frame_agree(spark):
     a = cap.task_status_for_parts(src, CFG, names)
     b = cap.task_status_for_parts(src, CFG, frame)
     assert _rows(a) == _rows(b) and a.count() > 0
+
+
+def test_production_defaults_build_and_run(spark):
+    """Config() (as_of = now, production ids and cut-offs) plans and runs every report."""
+    from capstan.config import Config
+    src = Sources.stored_fixtures(spark, SF)
+    for cfg in (Config(), Config(case_insensitive=True)):
+        merged = rep.merged_capacity_cost(src, cfg)
+        assert len(merged.columns) == 42
+        merged.write.format("noop").mode("overwrite").save()
+        assert cap.task_status_list(src, cfg).count() >= 0
