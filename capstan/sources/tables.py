@@ -5,6 +5,7 @@ a lazy DataFrame.  Reports only ever call ``src[name]`` and let Catalyst push
 their filters and column selections into whatever scan backs the name:
 
 * ``Sources.parquet(spark, root)``   – one parquet dataset per table
+* ``Sources.csv(spark, root)``       – one CSV folder per table, declared schemas
 * ``Sources.catalog(spark, db)``     – ``spark.table(f"{db}.{name}")``
 * ``Sources.jdbc(spark, url, ...)``  – ``spark.read.jdbc`` per table
 * ``Sources.fixtures(spark, sf_dir)``– derived from the driver test tables
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from capstan.session import scratch_path
 from capstan.sources import fixtures
+from capstan.sources.schemas import SCHEMAS
 
 _STORED: dict[tuple[str, str], "Sources"] = {}
 _STORED_LOCK = threading.Lock()
@@ -53,6 +55,12 @@ class Sources:
         root = root.rstrip("/")
         return cls(spark, lambda n: spark.read.parquet(f"{root}/{n}"))
 
+    @classmethod
+    def csv(cls, spark: SparkSession, root: str, header: bool = True) -> "Sources":
+        """One CSV folder per table, read with the declared schema (no inference)."""
+        root = root.rstrip("/")
+        return cls(spark, lambda n: spark.read.schema(SCHEMAS[n]).option("header", header).csv(f"{root}/{n}"))
+
     @classmethod
     def catalog(cls, spark: SparkSession, database: str) -> "Sources":
         return cls(spark, lambda n: spark.table(f"{database}.{n}"))
