@@ -6,14 +6,14 @@ Plan shape (current version)::
     purchased parts ⋈ supplier                      (filter FabricatedFlag, SupplierCode)
       ⟕ part-supplier on (PartNumber, SupplierCode)
       ⟕ part-supplier tag                           (small dimension)
-      ⟕ tag flags (one aggregation over part tags)  -> program filter
+      ⟕ tag flags (top-1 window + aggregation)      -> program filter
+      ⟕ capacity tasks (task 40)                    (fan-out join, skew-safe)
       ⟕ SIE user, manager; buyer users, manager     (user dimension)
-      ⟕ capacity tasks (task 40)                    (fan-out: tasks per part-supplier)
       -> distinct info rows
       ⟕ latest contract quote, ⟕ latest current capacity (top-1 windows over lines)
 
-Every step before the task join is per part, so the program filter and the
-user lookups run on parts, not on tasks.  Left joins that contribute no
+Every step before the task join is per part, so the program filter runs on
+parts, not on tasks.  Left joins that contribute no
 column and whose fan-out the final DISTINCT removes (the enabled part-tag
 join, the status lookup, the latest-task join of the current version) are
 not part of the plan.
@@ -217,13 +217,14 @@ def info_rows(src: Sources, cfg: Config, version: int = 2, users: bool = True,
          .join(part_tag_flags(src, cfg), "PartID", "left"))
     flags = [F.coalesce(F.col(c), F.lit(False)) for c in ("is_model_s", "is_model_x", "is_model_3", "is_energy")]
     x = x.where(flags[0] | flags[1] | flags[2] | F.col("ProgramTag").isNotNull() | flags[3])
+    # tasks per part-supplier: the fan-out join, safe against a hot part-supplier
+    x = left_join_fanout(x, capacity_tasks(src, cfg), ["PartSupplierID"])
     if users:
+        # small dimension lookups, once on the joined rows (not in both branches above)
         all_users = src["portal_user"]
         x = with_user(x, all_users, on="SIEUserID", user_key="UserID", name_as="SIE", manager_as="SIEManager")
         x = with_user(x, buyer_users(all_users, cfg), on="BuyerCode", user_key="SAPUserID", name_as="GSM",
                       manager_as="GSMManager", managers=all_users)
-    # tasks per part-supplier: the fan-out join, safe against a hot part-supplier
-    x = left_join_fanout(x, capacity_tasks(src, cfg), ["PartSupplierID"])
     rollup = None
     if version == 1:
         r = _prefixed(rollup_flags(src["portal_task"], cfg), "roll_")
