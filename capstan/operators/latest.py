@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from capstan.session import ensure_checkpoint_dir
+from capstan.session import cut_lineage
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -44,9 +44,8 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank_col
     #    slice boundaries come from sampling, so the sliced rows are
     #    checkpointed (shared checkpoint folder): both branches below read
     #    the same slices even if a stage is recomputed.
-    ensure_checkpoint_dir(spark)
-    sliced = (df.repartitionByRange(n, *key_cols, *order).withColumn("__slice", F.spark_partition_id())
-              .checkpoint(eager=True))
+    sliced = cut_lineage(df.repartitionByRange(n, *key_cols, *order)
+                         .withColumn("__slice", F.spark_partition_id()))
     # 2. number rows inside (key, slice); a group is at most one slice.
     local_w = Window.partitionBy(*keys, "__slice").orderBy(*order)
     local = sliced.withColumn("__local", F.row_number().over(local_w))

@@ -29,6 +29,7 @@ from capstan.functions.dates import calendar_cutoff, elapsed_cutoff, previous_mo
 from capstan.functions.labels import flag_is_null_or_zero, ts_lit
 from capstan.operators.latest import latest_per_key
 from capstan.operators.units import with_unit_divisor
+from capstan.session import cut_lineage
 from capstan.sources import Sources
 
 PRICE_COLUMNS = ["PurchaseOrderTypeID", "PurchaseOrderLineID", "PartNumber", "UnitPrice", "CurrencyCode",
@@ -81,21 +82,45 @@ def bom_usage_latest(src: Sources, cfg: Config) -> DataFrame:
 # -------------------------------------------------------------- price side
 def _po_lines(src: Sources, po_filter, line_filter) -> DataFrame:
     po = (src["erp_po"].where(po_filter)
-          .select("PurchaseOrderID", "PurchaseOrderTypeID", F.col("SupplierID").alias("POSupplierID"),
+          .select("PurchaseOrderID", "PurchaseOrderTypeID", "Status", F.col("SupplierID").alias("POSupplierID"),
                   F.col("CurrencyID").alias("POCurrencyID"), F.col("CreateDate").alias("POCreateDate")))
     pol = (src["erp_po_line"].where(line_filter)
            .select("PurchaseOrderID", "PurchaseOrderLineID", F.col("PartID").alias("LinePartID"), "UnitPrice",
-                   "PurchaseUnitID", F.col("CreateDate").alias("POLCreateDate")))
+                   "PurchaseUnitID", "LineStatus", F.col("CreateDate").alias("POLCreateDate")))
     return pol.join(po, "PurchaseOrderID", "inner")
 
 
-def open_po_prices(src: Sources, cfg: Config) -> DataFrame:
+def price_lines(src: Sources, cfg: Config) -> DataFrame:
+    """PO lines joined to their PO, kept if either price rule can read them.
+
+    The filter is the union of the open-price rule and the date-price rule;
+    each rule re-applies its own filter on top.  Lazily, Catalyst pushes
+    each rule's filter into its own scan; a report that cuts lineage here
+    (``qpv_data``) joins the large line table once for all rules.
+    """
+    statuses = sorted(set(cfg.open_po_statuses) | {cfg.date_priced_po_status})
+    types = sorted(set(cfg.price_po_types) | {cfg.date_priced_po_type})
+    line_statuses = sorted(set(cfg.open_line_statuses) | {cfg.date_priced_line_status})
+    return _po_lines(src, F.col("Status").isin(*statuses) & F.col("PurchaseOrderTypeID").isin(*types),
+                     flag_is_null_or_zero(F.col("DeliveryCompleteFlag")) & flag_is_null_or_zero(F.col("ReturnFlag"))
+                     & F.col("LineStatus").isin(*line_statuses))
+
+
+def _open_rule(cfg: Config):
+    return (F.col("Status").isin(*cfg.open_po_statuses) & F.col("PurchaseOrderTypeID").isin(*cfg.price_po_types)
+            & F.col("LineStatus").isin(*cfg.open_line_statuses) & (F.col("UnitPrice") != 0))
+
+
+def _date_rule(cfg: Config, nonzero_price: bool):
+    rule = ((F.col("Status") == cfg.date_priced_po_status)
+            & (F.col("PurchaseOrderTypeID") == cfg.date_priced_po_type)
+            & (F.col("LineStatus") == cfg.date_priced_line_status))
+    return rule & (F.col("UnitPrice") != 0) if nonzero_price else rule
+
+
+def open_po_prices(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Priced lines of open/closed POs of the price-relevant types."""
-    lines = _po_lines(
-        src,
-        F.col("Status").isin(*cfg.open_po_statuses) & F.col("PurchaseOrderTypeID").isin(*cfg.price_po_types),
-        flag_is_null_or_zero(F.col("DeliveryCompleteFlag")) & flag_is_null_or_zero(F.col("ReturnFlag"))
-        & F.col("LineStatus").isin(*cfg.open_line_statuses) & (F.col("UnitPrice") != 0))
+    lines = (price_lines(src, cfg) if lines is None else lines).where(_open_rule(cfg))
     p = src["erp_part"].select("PartID", "PartNumber", "StockUnitID")
     s = src["erp_supplier"].select(F.col("SupplierID").alias("__sid"), "SupplierCode",
                                    F.col("Name").alias("SupplierName"))
@@ -107,27 +132,18 @@ def open_po_prices(src: Sources, cfg: Config) -> DataFrame:
     return x.select(*[F.col(k).cast("double").alias(k) if k == "UnitPrice" else F.col(k) for k in PRICE_COLUMNS])
 
 
-def _date_priced_lines(src: Sources, cfg: Config, nonzero_price: bool) -> DataFrame:
-    line_filter = (F.col("LineStatus") == cfg.date_priced_line_status) \
-        & flag_is_null_or_zero(F.col("DeliveryCompleteFlag")) & flag_is_null_or_zero(F.col("ReturnFlag"))
-    if nonzero_price:
-        line_filter = line_filter & (F.col("UnitPrice") != 0)
-    return _po_lines(src, (F.col("Status") == cfg.date_priced_po_status)
-                     & (F.col("PurchaseOrderTypeID") == cfg.date_priced_po_type), line_filter)
-
-
-def date_priced_parts(src: Sources, cfg: Config) -> DataFrame:
+def date_priced_parts(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Parts with a pricing row starting on/before the cut-off and an open type-9 line."""
-    line_parts = (_date_priced_lines(src, cfg, nonzero_price=False)
-                  .select(F.col("LinePartID").alias("PartID")).distinct())
+    lines = price_lines(src, cfg) if lines is None else lines
+    line_parts = lines.where(_date_rule(cfg, nonzero_price=False)).select(F.col("LinePartID").alias("PartID")).distinct()
     priced = src["erp_date_pricing"].where(F.col("StartDate") <= ts_lit(cfg.date_pricing_cutoff)).select("PartID")
     return (line_parts.join(priced, "PartID", "left_semi")
             .join(src["erp_part"].select("PartID"), "PartID", "left_semi"))
 
 
-def non_date_priced(src: Sources, cfg: Config) -> DataFrame:
+def non_date_priced(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Open-PO prices of parts without date-based pricing (rows with NULL part kept)."""
-    return open_po_prices(src, cfg).join(date_priced_parts(src, cfg), "PartID", "left_anti")
+    return open_po_prices(src, cfg, lines).join(date_priced_parts(src, cfg, lines), "PartID", "left_anti")
 
 
 def month_end_fx(src: Sources, cfg: Config) -> DataFrame:
@@ -137,7 +153,7 @@ def month_end_fx(src: Sources, cfg: Config) -> DataFrame:
             .select("FromCurrencyID", "ToCurrencyID", "ExchangeRate"))
 
 
-def date_based_prices(src: Sources, cfg: Config) -> DataFrame:
+def date_based_prices(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Price of each open type-9 line from the latest pricing row of its (part, PO supplier) before the cut-off.
 
     Price in PO currency and purchase unit: pricing price × rate (1 for the
@@ -151,7 +167,7 @@ def date_based_prices(src: Sources, cfg: Config) -> DataFrame:
     latest = latest.select(F.col("PartID").alias("LinePartID"), F.col("SupplierID").alias("POSupplierID"),
                            F.col("CurrencyID").alias("PricingCurrencyID"),
                            F.col("UnitPrice").cast("double").alias("PricingPrice"))
-    lines = _date_priced_lines(src, cfg, nonzero_price=True)
+    lines = (price_lines(src, cfg) if lines is None else lines).where(_date_rule(cfg, nonzero_price=True))
     parts = src["erp_part"].select(F.col("PartID").alias("LinePartID"), "PartNumber", "StockUnitID")
     suppliers = src["erp_supplier"].select(F.col("SupplierID").alias("POSupplierID"), "SupplierCode",
                                     F.col("Name").alias("SupplierName"))
@@ -186,14 +202,14 @@ def date_based_prices(src: Sources, cfg: Config) -> DataFrame:
     return x.select(*PRICE_COLUMNS)
 
 
-def price_candidates(src: Sources, cfg: Config) -> DataFrame:
+def price_candidates(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Open-PO prices (without date-priced parts) followed by date-based prices."""
-    return non_date_priced(src, cfg).unionByName(date_based_prices(src, cfg))
+    return non_date_priced(src, cfg, lines).unionByName(date_based_prices(src, cfg, lines))
 
 
-def current_price(src: Sources, cfg: Config) -> DataFrame:
+def current_price(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Latest price candidate per part number (PO date, then line date, then line id)."""
-    latest = latest_per_key(price_candidates(src, cfg), ["PartNumber"],
+    latest = latest_per_key(price_candidates(src, cfg, lines), ["PartNumber"],
                             [F.col("POCreateDate").desc_nulls_last(), F.col("POLCreateDate").desc_nulls_last(),
                              F.col("PurchaseOrderLineID").desc()])
     return latest.select(*CURRENT_PRICE_COLUMNS)
@@ -210,7 +226,8 @@ def qpv_data(src: Sources, cfg: Config) -> DataFrame:
     """QPV/CPV report: one row per required part × usage line (distinct)."""
     cfg = cfg.fixed()
     required = recent_bom_parts(src, cfg)
-    price = current_price(src, cfg)
+    # the three price rules read one joined, materialised copy of the PO lines
+    price = current_price(src, cfg, cut_lineage(price_lines(src, cfg)))
     price = price.select(*[F.col(c).alias("price_" + c) for c in price.columns])
     usage = bom_usage_latest(src, cfg).select(F.col("DetailPartNumber").alias("__upn"), "Quantity")
     buyers = src["erp_buyer_mgr"].select(F.col("BuyerCode").alias("__bc"), "Buyer", "Manager")

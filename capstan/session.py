@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans are written for: adaptive execution re-plans joins from
 # runtime sizes (broadcast only below the threshold, sort-merge beyond it),
@@ -58,10 +58,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and return it with a short lineage.
+
+    A reliable checkpoint (never ``localCheckpoint``): the files live on the
+    storage the cluster names in ``spark.checkpoint.dir`` and survive the
+    loss of the executors that wrote them.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint directory (shared storage)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/capstan/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "scratch_path"]
+__all__ = ["DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "cut_lineage", "scratch_path"]
