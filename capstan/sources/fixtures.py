@@ -284,6 +284,19 @@ def closure(names) -> list[str]:
     return out
 
 
+def levels(names) -> list[list[str]]:
+    """``closure(names)`` grouped by dependency depth (a level only reads earlier levels)."""
+    depth: dict[str, int] = {}
+    for n in closure(names):
+        depth[n] = 1 + max((depth.get(i, -1) for i in ADAPTERS[n].inputs), default=-1)
+    out: list[list[str]] = []
+    for n, d in depth.items():
+        while len(out) <= d:
+            out.append([])
+        out[d].append(n)
+    return out
+
+
 def duckdb_ctes(names) -> str:
     """``name AS (...)`` CTE list (without WITH) for the adapters ``names`` need."""
     return ",\n".join(f"{n} AS (\n{render(n, 'duckdb')}\n)" for n in closure(names))

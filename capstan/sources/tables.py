@@ -21,6 +21,7 @@ erp_part_unit_conv erp_buyer_mgr``.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -125,11 +126,16 @@ class Sources:
                         return spark.read.parquet(f"{sf_dir}/{n}.parquet")
                     return spark.read.parquet(written[n])
 
-                for n in fixtures.closure(fixtures.ADAPTERS):
+                def write(n: str) -> None:
                     ad = fixtures.ADAPTERS[n]
                     df = spark.sql(fixtures.render(n, "spark"), **{i: table(i) for i in ad.inputs})
                     df.write.mode("overwrite").parquet(f"{root}/{n}")
-                    written[n] = f"{root}/{n}"
+
+                # tables of one dependency level are independent: write them as concurrent jobs
+                for level in fixtures.levels(fixtures.ADAPTERS):
+                    with ThreadPoolExecutor(max_workers=4) as pool:
+                        list(pool.map(write, level))
+                    written.update({n: f"{root}/{n}" for n in level})
                 # one Sources per session and folder: each table's DataFrame
                 # (file listing, footer schema) is created once and reused
                 stored = _STORED[key] = cls.parquet(spark, root)
