@@ -176,3 +176,12 @@ def test_null_safe_merge_hot_right_keys_same_rows(spark):
     hot = null_safe_merge(left, right, ["k"], hot_right_keys=True)
     assert hot.columns == plain.columns == ["k", "v_x", "v_y"]
     assert sorted(map(str, hot.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_ranked_null_keys_and_empty_input(spark):
+    rows = [(None, 3, 1), (None, 1, 2), (None, 2, 3), (5, 1, 4), (5, 1, 5)]
+    df = spark.createDataFrame(rows, "k int, d int, id int")
+    got = sorted((r.id, r["rank"]) for r in ranked(df, ["k"], [F.col("d").desc(), F.col("id").desc()]).collect())
+    assert got == [(1, 1), (2, 3), (3, 2), (4, 2), (5, 1)]
+    empty = df.where("id < 0")
+    assert ranked(empty, ["k"], [F.col("id").desc()]).count() == 0
