@@ -26,7 +26,8 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", partition_by: l
         raise ValueError(f"unsupported format {fmt!r}")
 
 
-def read_report(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | str | None = None) -> DataFrame:
+def read_report(spark: SparkSession, path: str, fmt: str = "parquet",
+                schema: StructType | str | None = None) -> DataFrame:
     """Read a report back; CSV is read with an explicit schema (names and types forced)."""
     if fmt == "parquet":
         return spark.read.parquet(path)

@@ -135,7 +135,8 @@ def open_po_prices(src: Sources, cfg: Config, lines: DataFrame | None = None) ->
 def date_priced_parts(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Parts with a pricing row starting on/before the cut-off and an open type-9 line."""
     lines = price_lines(src, cfg) if lines is None else lines
-    line_parts = lines.where(_date_rule(cfg, nonzero_price=False)).select(F.col("LinePartID").alias("PartID")).distinct()
+    line_parts = (lines.where(_date_rule(cfg, nonzero_price=False))
+                  .select(F.col("LinePartID").alias("PartID")).distinct())
     priced = src["erp_date_pricing"].where(F.col("StartDate") <= ts_lit(cfg.date_pricing_cutoff)).select("PartID")
     return (line_parts.join(priced, "PartID", "left_semi")
             .join(src["erp_part"].select("PartID"), "PartID", "left_semi"))
@@ -170,17 +171,17 @@ def date_based_prices(src: Sources, cfg: Config, lines: DataFrame | None = None)
     lines = (price_lines(src, cfg) if lines is None else lines).where(_date_rule(cfg, nonzero_price=True))
     parts = src["erp_part"].select(F.col("PartID").alias("LinePartID"), "PartNumber", "StockUnitID")
     suppliers = src["erp_supplier"].select(F.col("SupplierID").alias("POSupplierID"), "SupplierCode",
-                                    F.col("Name").alias("SupplierName"))
+                                           F.col("Name").alias("SupplierName"))
     units = src["erp_unit"].select("UnitID")
     currencies = src["erp_currency"].select(F.col("CurrencyID").alias("POCurrencyID"), "CurrencyCode",
-                                    F.col("Name").alias("CurrencyName"))
+                                            F.col("Name").alias("CurrencyName"))
     part_conv = src["erp_part_unit_conv"]
     conv_fwd = part_conv.select(F.col("PartID").alias("__fp"), F.col("FromUnitID").alias("__ff"),
-                     F.col("ToUnitID").alias("__ft"), F.col("ConversionFactor").cast("double").alias("CF1"))
+                                F.col("ToUnitID").alias("__ft"), F.col("ConversionFactor").cast("double").alias("CF1"))
     conv_rev = part_conv.select(F.col("PartID").alias("__rp"), F.col("FromUnitID").alias("__rf"),
-                     F.col("ToUnitID").alias("__rt"), F.col("ConversionFactor").cast("double").alias("CF2"))
-    rates = month_end_fx(src, cfg).select(F.col("FromCurrencyID").alias("__xf"), F.col("ToCurrencyID").alias("__xt"),
-                                       F.col("ExchangeRate").alias("__rate"))
+                                F.col("ToUnitID").alias("__rt"), F.col("ConversionFactor").cast("double").alias("CF2"))
+    rates = month_end_fx(src, cfg).select(F.col("FromCurrencyID").alias("__xf"),
+                                          F.col("ToCurrencyID").alias("__xt"), F.col("ExchangeRate").alias("__rate"))
     x = (lines.join(latest, ["LinePartID", "POSupplierID"], "inner")
          .join(parts, "LinePartID", "inner")
          .join(suppliers, "POSupplierID", "inner")

@@ -135,8 +135,11 @@ def test_left_join_fanout_equals_left_join(spark):
     from capstan.operators import left_join_fanout
     left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (3, "d")], "k int, l string")
     right = spark.createDataFrame([(1, "x")] * 50 + [(1, "y"), (2, "z"), (None, "n")], "k int, r string")
-    got = sorted((tuple(r) for r in left_join_fanout(left, right, ["k"]).collect()), key=lambda t: (t[0] or -1, t[1], t[2] or ""))
-    want = sorted((tuple(r) for r in left.join(right, ["k"], "left").collect()), key=lambda t: (t[0] or -1, t[1], t[2] or ""))
+    def order(t):
+        return (-1 if t[0] is None else t[0], t[1], t[2] or "")
+
+    got = sorted((tuple(r) for r in left_join_fanout(left, right, ["k"]).collect()), key=order)
+    want = sorted((tuple(r) for r in left.join(right, ["k"], "left").collect()), key=order)
     assert got == want
     assert left_join_fanout(left, right, ["k"]).columns == ["k", "l", "r"]
 
