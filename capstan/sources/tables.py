@@ -30,7 +30,8 @@ from capstan.session import scratch_path
 from capstan.sources import fixtures
 from capstan.sources.schemas import SCHEMAS
 
-_STORED: dict[tuple[str, str], "Sources"] = {}
+_STORED_ROOT: dict[tuple[str, str], str] = {}          # (application, folder) -> written tables
+_STORED: dict[tuple[int, str], "Sources"] = {}          # (session, folder) -> Sources over them
 _STORED_LOCK = threading.Lock()
 
 
@@ -106,7 +107,7 @@ class Sources:
 
     @classmethod
     def stored_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Sources":
-        """The derived test tables written once per session and test folder, then read as parquet.
+        """The derived test tables, written once per application and test folder, read as parquet.
 
         Each table is derived from already written inputs (dependency
         order), so the de-duplicated line table is computed once instead of
@@ -114,10 +115,14 @@ class Sources:
         production.  The folder lies under ``spark.checkpoint.dir``.
         """
         sf_dir = sf_dir.rstrip("/")
-        key = (spark.sparkContext.applicationId, sf_dir)
+        app_key = (spark.sparkContext.applicationId, sf_dir)
+        session_key = (id(spark), sf_dir)
         with _STORED_LOCK:
-            stored = _STORED.get(key)
-            if stored is None:
+            stored = _STORED.get(session_key)
+            if stored is not None and stored.spark is spark:
+                return stored
+            root = _STORED_ROOT.get(app_key)
+            if root is None:
                 root = scratch_path(spark, "fixtures")
                 written: dict[str, str] = {}
 
@@ -136,7 +141,8 @@ class Sources:
                     with ThreadPoolExecutor(max_workers=4) as pool:
                         list(pool.map(write, level))
                     written.update({n: f"{root}/{n}" for n in level})
-                # one Sources per session and folder: each table's DataFrame
-                # (file listing, footer schema) is created once and reused
-                stored = _STORED[key] = cls.parquet(spark, root)
+                _STORED_ROOT[app_key] = root
+            # one Sources per session and folder: each table's DataFrame
+            # (file listing, footer schema) is created once and reused
+            stored = _STORED[session_key] = cls.parquet(spark, root)
         return stored
