@@ -29,7 +29,6 @@ from capstan.functions.dates import calendar_cutoff, elapsed_cutoff, previous_mo
 from capstan.functions.labels import flag_is_null_or_zero, ts_lit
 from capstan.operators.latest import latest_per_key
 from capstan.operators.units import with_unit_divisor
-from capstan.session import cut_lineage
 from capstan.sources import Sources
 
 PRICE_COLUMNS = ["PurchaseOrderTypeID", "PurchaseOrderLineID", "PartNumber", "UnitPrice", "CurrencyCode",
@@ -94,9 +93,12 @@ def price_lines(src: Sources, cfg: Config) -> DataFrame:
     """PO lines joined to their PO, kept if either price rule can read them.
 
     The filter is the union of the open-price rule and the date-price rule;
-    each rule re-applies its own filter on top.  Lazily, Catalyst pushes
-    each rule's filter into its own scan; a report that cuts lineage here
-    (``qpv_data``) joins the large line table once for all rules.
+    each rule re-applies its own filter on top.  Left lazy, Catalyst pushes
+    each rule's filter into its own column-pruned scan, so every shuffle is
+    sized by its own rule's selectivity.  Materialising the union instead
+    (``capstan.session.cut_lineage``, then ``lines=`` of the price functions)
+    writes the large open-price subset once more than it saves; it only pays
+    when the rules select nearly the same lines.
     """
     statuses = sorted(set(cfg.open_po_statuses) | {cfg.date_priced_po_status})
     types = sorted(set(cfg.price_po_types) | {cfg.date_priced_po_type})
@@ -227,8 +229,7 @@ def qpv_data(src: Sources, cfg: Config) -> DataFrame:
     """QPV/CPV report: one row per required part × usage line (distinct)."""
     cfg = cfg.fixed()
     required = recent_bom_parts(src, cfg)
-    # the three price rules read one joined, materialised copy of the PO lines
-    price = current_price(src, cfg, cut_lineage(price_lines(src, cfg)))
+    price = current_price(src, cfg)
     price = price.select(*[F.col(c).alias("price_" + c) for c in price.columns])
     usage = bom_usage_latest(src, cfg).select(F.col("DetailPartNumber").alias("__upn"), "Quantity")
     buyers = src["erp_buyer_mgr"].select(F.col("BuyerCode").alias("__bc"), "Buyer", "Manager")

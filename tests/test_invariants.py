@@ -79,3 +79,11 @@ def test_production_defaults_build_and_run(spark):
         assert len(merged.columns) == 42
         merged.write.format("noop").mode("overwrite").save()
         assert cap.task_status_list(src, cfg).count() >= 0
+
+
+def test_materialised_price_lines_give_same_prices(spark):
+    from capstan.session import cut_lineage
+    src = Sources.stored_fixtures(spark, SF)
+    lazy = pr.current_price(src, CFG)
+    shared = pr.current_price(src, CFG, cut_lineage(pr.price_lines(src, CFG)))
+    assert _rows(lazy) == _rows(shared) and lazy.count() > 0
