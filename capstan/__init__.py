@@ -7,6 +7,9 @@ Layout
     operators   reusable DataFrame operators (latest per key, tag flags, merges, sinks)
     plans       the reports: capacity, pricing / QPV, merged reports
     streaming   incremental snapshot accumulation with Structured Streaming
+    run         command line: run a report or a snapshot load and write it out
+    queries     registry of the report queries over the test tables (driver contract)
+    oracle      DuckDB SQL of each registered query (correctness oracle)
 """
 
 from capstan.config import FIXTURE_CONFIG, Config

@@ -69,17 +69,21 @@ class Sources:
 
     @classmethod
     def jdbc(cls, spark: SparkSession, url: str, tables: dict[str, str], properties: dict | None = None,
-             partitioning: dict[str, dict] | None = None) -> "Sources":
+             partitioning: dict[str, dict] | None = None, declared_types: bool = True) -> "Sources":
         """``tables`` maps a domain name to the source table (``schema.Table``).
 
         ``partitioning`` optionally gives ``column/lowerBound/upperBound/
         numPartitions`` per large table so the read is split across tasks.
+        With ``declared_types`` the declared schemas are passed as
+        ``customSchema`` so column types do not depend on the driver's mapping.
         """
         props = dict(properties or {})
         parts = partitioning or {}
 
         def load(n: str) -> DataFrame:
             opts = {"url": url, "dbtable": tables[n], **props, **parts.get(n, {})}
+            if declared_types and n in SCHEMAS:
+                opts.setdefault("customSchema", SCHEMAS[n])
             return spark.read.format("jdbc").options(**opts).load()
 
         return cls(spark, load)
