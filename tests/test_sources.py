@@ -25,3 +25,26 @@ def test_csv_sources_round_trip(spark):
     for n in names:
         assert csv[n].schema == src[n].schema
         assert sorted(map(str, csv[n].collect())) == sorted(map(str, src[n].collect()))
+
+
+def test_bucketed_layout_removes_the_line_shuffle(spark):
+    """Lines and POs bucketed on PurchaseOrderID join without an exchange, with the same prices."""
+    from capstan.config import FIXTURE_CONFIG as CFG
+    from capstan.plans import pricing as pr
+    from capstan.sources.layout import store_tables
+
+    src = Sources.stored_fixtures(spark, SF)
+    location = scratch_path(spark, "layout-db")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS capstan_layout_test LOCATION '{location}'")
+    names = ["erp_po_line", "erp_po", "erp_part", "erp_supplier", "erp_currency"]
+    bucketed = store_tables(src, "capstan_layout_test", names, buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")        # force the sort-merge join
+        lines = pr.price_lines(bucketed, CFG)
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        got = pr.open_po_prices(bucketed, CFG)
+        assert sorted(map(str, got.collect())) == sorted(map(str, pr.open_po_prices(src, CFG).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
