@@ -32,7 +32,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     """
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", driver_memory))
+               .config("spark.driver.memory", driver_memory)
+               # local sessions only: keep catalog tables out of the working directory
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="capstan-warehouse-")))
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
