@@ -48,3 +48,12 @@ def test_bucketed_layout_removes_the_line_shuffle(spark):
         assert sorted(map(str, got.collect())) == sorted(map(str, pr.open_po_prices(src, CFG).collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_lazy_and_stored_fixtures_give_the_same_report(spark):
+    from capstan.config import FIXTURE_CONFIG as CFG
+    from capstan.plans import reports as rep
+    lazy = rep.merged_capacity_cost(Sources.fixtures(spark, SF), CFG)
+    stored = rep.merged_capacity_cost(Sources.stored_fixtures(spark, SF), CFG)
+    assert lazy.columns == stored.columns
+    assert sorted(map(str, lazy.collect())) == sorted(map(str, stored.collect()))
