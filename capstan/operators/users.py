@@ -29,6 +29,7 @@ def with_user(df: DataFrame, users: DataFrame, on: str, user_key: str, name_as:
                      F.col("ManagerUserID").alias(f"__{tag}_mgr"))
     m = (users if managers is None else managers).select(F.col("UserID").alias(f"__{tag}_mid"),
                                                          F.col("DisplayName").alias(manager_as))
-    out = (df.join(u, F.col(on) == F.col(f"__{tag}_key"), "left")
-           .join(m, F.col(f"__{tag}_mgr") == F.col(f"__{tag}_mid"), "left"))
-    return out.drop(f"__{tag}_key", f"__{tag}_mgr", f"__{tag}_mid")
+    # users joined to their managers first (dimension side only), so the large
+    # side is probed once per lookup instead of twice
+    people = u.join(m, F.col(f"__{tag}_mgr") == F.col(f"__{tag}_mid"), "left").drop(f"__{tag}_mgr", f"__{tag}_mid")
+    return df.join(people, F.col(on) == F.col(f"__{tag}_key"), "left").drop(f"__{tag}_key")
