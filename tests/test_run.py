@@ -26,3 +26,15 @@ def test_parts_report_and_snapshot_command(spark):
     snap = spark.read.parquet(table)
     per_day = {str(r.Load_Date): r["count"] for r in snap.groupBy("Load_Date").count().collect()}
     assert len(per_day) == 2 and per_day["2020-01-01"] == per_day["2020-01-02"] > 0
+
+
+def test_as_of_and_config_selection():
+    import argparse
+    import datetime as dt
+
+    from capstan.config import FIXTURE_CONFIG
+    from capstan.run import _config
+    fixtures = argparse.Namespace(fixtures=SF, as_of=None)
+    assert _config(fixtures) == FIXTURE_CONFIG
+    pinned = _config(argparse.Namespace(fixtures=None, as_of="2017-08-15T09:30:00"))
+    assert pinned.as_of == dt.datetime(2017, 8, 15, 9, 30) and pinned.excluded_user_ids == (2586, 2583, 2584)
