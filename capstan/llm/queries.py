@@ -6,9 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from capstan.llm import bbit_minhash, quality_llr
+from capstan.llm import bbit_minhash, piece_bpe, quality_llr, superkmer
 from capstan.llm.common import table
 
+MODEL = "piece_bpe_32k.model"
+
+
+def public_model() -> str:
+    """Path of the public tokenizer file (a parameter of the operator)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(MODEL)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -17,13 +27,45 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_llr.quality_rules(docs, quality_llr.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_superkmer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer.substring_digests(table(spark, sf_dir, "documents"))
+
+
+def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.token_digests(table(spark, sf_dir, "documents"), public_model())
+
+
 def op10_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"), bbit_minhash.Settings(shingle=2))
 
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_superkmer": op2_superkmer,
+    "op7_piece_bpe": op7_piece_bpe,
     "op10_bbit_minhash": op10_bbit_minhash,
 }
 
-ORACLE: dict[str, str] = {}
+# windows are taken as text and the smallest document of each window by plain grouping
+OP2_SQL = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM split)
+), least AS (
+  SELECT k, min(doc_id) AS d FROM win GROUP BY k HAVING min(doc_id) < max(doc_id)
+), hit AS (
+  SELECT DISTINCT win.doc_id, i + unnest(range(0, 13)) AS p FROM win JOIN least ON win.k = least.k AND win.doc_id > least.d
+), pos AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM split
+), kept AS (
+  SELECT pos.doc_id, string_agg(word, ' ' ORDER BY pos.p) AS t, count(*) AS n
+  FROM pos LEFT JOIN hit ON pos.doc_id = hit.doc_id AND pos.p = hit.p WHERE hit.p IS NULL GROUP BY pos.doc_id
+)
+SELECT split.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM split LEFT JOIN kept ON split.doc_id = kept.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op2_superkmer": OP2_SQL}

@@ -74,22 +74,33 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each run's bytes."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+    """64-bit hash of each run's bytes; works on about ``block`` bytes at a time."""
+    edge = np.concatenate([[0], np.cumsum(ends - starts)])
+    out = np.zeros(len(starts), np.uint64)
+    lo = 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(edge, edge[lo] + block, "right")) - 1)
+        out[lo:hi] = _hash_block(data, starts[lo:hi], ends[lo:hi])
+        lo = hi
+    return out
+
+
+def _hash_block(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     length = ends - starts
     edge = np.concatenate([[0], np.cumsum(length)])
     total = int(edge[-1])
     pos = np.arange(total, dtype=np.int64) - np.repeat(edge[:-1], length)
     values = data[pos + np.repeat(starts, length)].astype(np.uint64) + np.uint64(1)
-    if int(length.max()) >= _SPAN:
+    if total and int(length.max()) >= _SPAN:
         step = np.concatenate([[np.uint64(1)], np.cumprod(np.full(int(length.max()) // _SPAN, _STEP, np.uint64))])
         values *= step[pos // _SPAN]
         pos %= _SPAN
     values *= _POW[pos]
-    h = np.add.reduceat(values, np.minimum(edge[:-1], max(total - 1, 0)))
-    h[length == 0] = 0
+    h = np.zeros(len(length), np.uint64)
+    some = length > 0
+    if total:
+        h[some] = np.add.reduceat(values, edge[:-1][some])
     return mix(h ^ (length.astype(np.uint64) << np.uint64(40)))
 
 
