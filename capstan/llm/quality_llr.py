@@ -89,7 +89,8 @@ def ngram_counts(docs: DataFrame, n: int = NGRAM, bits: int = BITS) -> np.ndarra
 def fit(docs: DataFrame, labels: DataFrame, n: int = NGRAM, bits: int = BITS, threshold: float = THRESHOLD) -> Model:
     """Count both multinomials; trusted are the documents with a row of quality 1 in ``labels``."""
     good = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("_trusted")).distinct()
-    trusted = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_trusted"), "left_semi")
+    # one plan at every size of the label table: a broadcast would turn into this shuffle as labels grow
+    trusted = docs.select("doc_id", "text").join(good.hint("merge"), F.col("doc_id") == F.col("_trusted"), "left_semi")
     raw, target = ngram_counts(docs, n, bits), ngram_counts(trusted, n, bits)
     if not target.sum():
         return Model(np.zeros(1 << bits, np.float32), n, bits, threshold)
