@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from capstan.llm import bbit_minhash, piece_bpe, quality_llr, superkmer
+from capstan.llm import arc_convert, bbit_minhash, cgk, piece_bpe, quality_llr, sharding, superkmer
 from capstan.llm.common import table
+from capstan.session import scratch_path
 
 MODEL = "piece_bpe_32k.model"
 
@@ -31,10 +32,25 @@ def op2_superkmer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.substring_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.token_digests(table(spark, sf_dir, "documents"), public_model())
 
 
+def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = scratch_path(spark, "warc")
+    arc_convert.write_warc(arc_convert.with_types(arc_convert.arc_records(arc_convert.arc_archives(pages))), path)
+    return arc_convert.read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cgk.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"), bbit_minhash.Settings(shingle=2))
 
@@ -42,7 +58,10 @@ def op10_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superkmer": op2_superkmer,
+    "op3_sampled_splitters": op3_sampled_splitters,
     "op7_piece_bpe": op7_piece_bpe,
+    "op8_arc_to_warc": op8_arc_to_warc,
+    "op9_cgk_decontamination": op9_cgk_decontamination,
     "op10_bbit_minhash": op10_bbit_minhash,
 }
 

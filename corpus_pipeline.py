@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from capstan.llm import bbit_minhash, quality_llr
+from capstan.llm import bbit_minhash, cgk, piece_bpe, quality_llr, superkmer
 from capstan.llm.common import stored, table
+from capstan.llm.queries import public_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,9 +28,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return bbit_minhash.near_duplicate_filter(docs)
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Substring dedup: passages that a document with a smaller doc_id has are cut out of the text."""
+    return superkmer.remove_repeats(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return cgk.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as SentencePiece ids, with the text that they decode to."""
+    return piece_bpe.encode_documents(docs, public_model())
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality),
     ("near_duplicates", near_duplicates),
+    ("substring_dedup", repeated_passages),
+    ("decontamination", decontaminate),
+    ("sentencepiece", tokens),
 ]
 
 #: Byte n-gram models, sampled signatures and a tokenizer have no DuckDB form: tested against brute force.
