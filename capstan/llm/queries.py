@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from capstan.llm import arc_convert, bbit_minhash, cgk, piece_bpe, quality_llr, sharding, superkmer
+from capstan.llm import arc_convert, bbit_minhash, cgk, piece_bpe, quality_llr, sharding, superkmer, templates
 from capstan.llm.common import table
 from capstan.session import scratch_path
 
@@ -36,6 +36,10 @@ def op3_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op6_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.token_digests(table(spark, sf_dir, "documents"), public_model())
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superkmer": op2_superkmer,
     "op3_sampled_splitters": op3_sampled_splitters,
+    "op6_page_templates": op6_page_templates,
     "op7_piece_bpe": op7_piece_bpe,
     "op8_arc_to_warc": op8_arc_to_warc,
     "op9_cgk_decontamination": op9_cgk_decontamination,
