@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from capstan.llm import arc_convert, bbit_minhash, cgk, piece_bpe, quality_llr, sharding, superkmer, templates
+from capstan.llm import arc_convert, bbit_minhash, byte_cnn, cgk, piece_bpe, quality_llr, sharding, superkmer, templates
 from capstan.llm.common import table
 from capstan.session import scratch_path
 
@@ -36,6 +36,11 @@ def op3_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return byte_cnn.classify(docs, byte_cnn.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.main_text(table(spark, sf_dir, "pages"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superkmer": op2_superkmer,
     "op3_sampled_splitters": op3_sampled_splitters,
+    "op4_byte_cnn": op4_byte_cnn,
     "op6_page_templates": op6_page_templates,
     "op7_piece_bpe": op7_piece_bpe,
     "op8_arc_to_warc": op8_arc_to_warc,
