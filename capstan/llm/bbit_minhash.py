@@ -8,7 +8,8 @@
    signatures give a collision-corrected similarity by bit counts; pairs whose
    estimate could still belong to a linked pair are confirmed on the full sets.
 4. Confirmed links give components.  Buckets that still hold two or more
-   components are compared in blocks, across components only, the same way.
+   components are compared in blocks inside tasks, across components only: first
+   the packed signatures, then the full sets.  A task emits links, not pairs.
 
 Every pair that shares a bucket is therefore either compared or already
 connected; no bucket is capped.  A pair at similarity ``threshold`` shares no
@@ -150,94 +151,126 @@ def _differing(p: str, q: str, longs: int):
     return total
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
+    """(doc_id, set) of the documents ``ids(_id)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi, data, off in slices(b.column(1)):
+                gram, first = shingle_sets(data, off, s.shingle)
+                lists = pa.LargeListArray.from_arrays(pa.array(first), pa.array(gram.view(np.int64))).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), lists], ["doc_id", "set"])
+
+    # one plan at every size: a broadcast of the ids would turn into this shuffle as they grow
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(ids.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
+    return texts.mapInArrow(run, "doc_id long, set array<long>").dropDuplicates(["doc_id"])
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    texts = stored(docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
-                   .dropDuplicates(["doc_id"]), "pair-texts")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "ta", "b", "tb")
-
-    def sets(col: pa.Array) -> list[np.ndarray]:
-        out = []
-        for _, _, data, off in slices(col):
-            gram, first = shingle_sets(data, off, s.shingle)
-            out += [gram[i:j] for i, j in zip(first[:-1], first[1:])]
-        return out
+    both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a")
+            .join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            p, q = b.column(2), b.column(3)
             keep = []
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                for p, q in zip(sets(part.column(1)), sets(part.column(3))):
-                    common = len(np.intersect1d(p, q, assume_unique=True))
-                    keep.append(100 * common >= s.percent * (len(p) + len(q) - common))
+            for k in range(b.num_rows):
+                x, y = p[k].values.to_numpy(), q[k].values.to_numpy()
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * common >= s.percent * (len(x) + len(y) - common))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
 
 
+def _link_block(s: Settings, band: int, ids: np.ndarray, comp: np.ndarray, own: np.ndarray, i: int, j: int,
+                sig: np.ndarray, keys: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Confirmed links across components within a block (i = j) or between two, one per pair of groups.
+
+    A pair is looked at in the first band that it shares only.  Full sets are
+    compared as bit rows over the shingles that two or more rows have.
+    """
+    sizes = np.array([len(x) for x in sets])
+    flat = np.concatenate(sets)
+    _, where, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    row = np.repeat(np.arange(len(sets)), sizes)
+    use = shared[where]
+    row, bit = row[use], number[where[use]]
+    words = int(shared.sum()) // 64 + 1
+    bits = np.zeros((len(sets), words), np.uint64)
+    np.bitwise_or.at(bits, (row, bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
+    group = np.unique(comp, return_inverse=True)[1]          # components that found links join
+    out = []
+    for r in np.flatnonzero(own == i):
+        other = (own == j) & (group != group[r])
+        if i == j:
+            other &= ids > ids[r]
+        at = np.flatnonzero(other)
+        if len(at) and band:
+            at = at[~(keys[at, :band] == keys[r, :band]).any(axis=1)]
+        if len(at):
+            v = sig[at] ^ sig[r]
+            at = at[np.bitwise_count((v | (v >> np.uint64(1))) & np.uint64(_HALF)).sum(axis=1) <= s.max_differing]
+        if len(at):
+            common = np.bitwise_count(bits[at] & bits[r]).sum(axis=1).astype(np.int64)
+            at = at[100 * common >= s.percent * (sizes[at] + sizes[r] - common)]
+        for k in at.tolist():
+            if group[k] != group[r]:
+                out.append((min(int(ids[r]), int(ids[k])), max(int(ids[r]), int(ids[k]))))
+                group[group == group[k]] = group[r]
+    return out
+
+
 def _across(members: DataFrame, s: Settings) -> DataFrame:
-    """Pairs across components within buckets ``members(key, doc_id, component, n, sig)``, in blocks.
+    """Links across components within buckets ``members(key, band, doc_id, component, n, sig, keys, set)``.
 
     A bucket of n rows is cut into ceil(n / block) blocks; a task holds two
-    blocks at a time and emits only pairs whose estimate passes.
+    blocks at a time and emits at most one link for each of their rows.
     """
     blocks = F.ceil(F.col("n") / F.lit(s.block)).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
     spread = (members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
-                      "doc_id", "component", "sig"))
+              .select("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
+                      "doc_id", "component", "sig", "keys", "set"))
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
     spread = spread.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    limit = s.max_differing
-
-    def compare(key, i, j, own, ids, comp, sig) -> tuple[np.ndarray, np.ndarray]:
-        rows = np.flatnonzero(own == i)
-        found = []
-        for r in rows:
-            other = (own == j) & (comp != comp[r])
-            if i == j:
-                other &= ids > ids[r]
-            at = np.flatnonzero(other)
-            if len(at):
-                v = sig[at] ^ sig[r]
-                differ = np.bitwise_count((v | (v >> np.uint64(1))) & np.uint64(_HALF)).sum(axis=1)
-                at = at[differ <= limit]
-                found.append((np.full(len(at), ids[r]), ids[at]))
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """Rows of one (key, i, j) after the other; they may cross batches."""
+        held: list[pa.RecordBatch] = []
+        last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            k = np.stack([b.column(c).to_numpy() for c in (0, 2, 3)], axis=1)
+            edge = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), b.num_rows]
+            for p, q in zip(edge[:-1], edge[1:]):
+                name = tuple(k[p])
+                if held and name != last:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                held.append(b.slice(p, q - p))
+                last = name
+        if held:
+            yield pa.Table.from_batches(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] | None = None
-
-        def cut(cols: list[np.ndarray], final: bool):
-            k = np.stack(cols[:3], axis=1)
-            edge = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
-            edge = np.concatenate([[0], edge, [len(k)]])
-            stop = len(edge) - 1 if final else len(edge) - 2
-            out = [compare(*k[p], *[c[p:q] for c in cols[3:]]) for p, q in zip(edge[:stop], edge[1:stop + 1]) if q - p > 1]
-            return out, [c[edge[stop]:] for c in cols]
-
-        def emit(out):
-            a = np.concatenate([o[0] for o in out]) if out else np.zeros(0, np.int64)
-            b = np.concatenate([o[1] for o in out]) if out else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
+        for t in groups(batches):
+            if len(t) < 2:
                 continue
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(6)]
-            cols.append(batch.column(6).flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, -1))
-            if rest is not None and len(rest[0]):
-                cols = [np.concatenate([r, c]) for r, c in zip(rest, cols)]
-            out, rest = cut(cols, False)
-            yield emit(out)
-        if rest is not None and len(rest[0]):
-            yield emit(cut(rest, True)[0])
+            t = t.combine_chunks()
+            cols = [t.column(c).to_numpy() for c in range(1, 7)]
+            wide = lambda c: t.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(t), -1)
+            sets = t.column(9).combine_chunks()
+            flat, off = sets.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy())])
+            links = _link_block(s, int(cols[0][0]), cols[4], cols[5], cols[3], int(cols[1][0]), int(cols[2][0]), wide(7), wide(8),
+                                [flat[p:q] for p, q in zip(off[:-1], off[1:])])
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())],
+                                                 ["a", "b"])
 
     return spread.mapInArrow(run, "a long, b long").distinct()
 
@@ -252,7 +285,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     member = full.select("doc_id", "n_shingles", "x", "y").join(sets, ["n_shingles", "x", "y"]).select("doc_id", "rep").distinct()
     reps = stored(full.join(sets.select(F.col("rep").alias("doc_id"), "n_shingles", "x", "y"), ["doc_id", "n_shingles", "x", "y"],
                             "left_semi").dropDuplicates(["doc_id", "x", "y"]).select("doc_id", "sig", "keys"), "minhash-classes")
-    rows = reps.select("doc_id", F.explode("keys").alias("key"))
+    rows = reps.select("doc_id", F.posexplode("keys").alias("band", "key"))
     groups = stored(rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1"), "minhash-buckets")
     pairs = (rows.join(groups, "key").filter("doc_id <> least")
              .select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct())
@@ -260,21 +293,27 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     close = (pairs.join(sig.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa")), "a")
              .join(sig.select(F.col("doc_id").alias("b"), F.col("sig").alias("sb")), "b")
              .filter(_differing("sa", "sb", s.longs) <= s.max_differing).select("a", "b").distinct())
-    # a doc_id can stand for several texts in faulty input: its classes are one document
-    same = member.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    links = stored(_confirm(stored(close, "minhash-pairs"), docs, s), "minhash-links")
+    close = stored(close, "minhash-pairs")
+    several = rows.join(groups.filter("n > 2").select("key", "n"), "key")
+    ids = close.select(F.explode(F.array("a", "b")).alias("_id")).union(several.select("doc_id")).distinct()
+    sets = stored(_sets(docs, ids, s), "minhash-sets")
+    # a doc_id that stands for several texts (repeated ids) joins their classes
+    own = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1").select("doc_id", "a")
+    same = own.join(member, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b"))
+    links = stored(_confirm(close, sets, s), "minhash-links")
     comp = components(links)
     # buckets that still join several components: compare across components, in blocks
-    named = (rows.join(groups.filter("n > 2").select("key", "n"), "key").join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    named = (several.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
              .withColumn("component", F.coalesce("component", "doc_id")))
     open_keys = (named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                  .filter("lo <> hi").select("key"))
-    rest = named.join(open_keys, "key", "left_semi").join(sig, "doc_id").select("key", "doc_id", "component", "n", "sig")
-    more = stored(_across(rest, s), "minhash-across")
-    if more.limit(1).count():
-        links = links.union(_confirm(more, docs, s))
+    rest = (named.join(open_keys, "key", "left_semi").join(reps, "doc_id").join(sets, "doc_id")
+            .select("key", "band", "doc_id", "component", "n", "sig", "keys", "set"))
+    links = links.union(stored(_across(rest, s), "minhash-across"))
     final = components(links.union(same))
-    out = (signed.select("doc_id", "n_shingles").join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    named = (member.join(final.withColumnRenamed("id", "rep"), "rep", "left")
+             .groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component")))
+    out = (signed.select("doc_id", "n_shingles").join(named, "doc_id", "left")
            .withColumn("component_id", F.coalesce("component", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id",
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
