@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from capstan.llm import arc_convert, bbit_minhash, byte_cnn, cgk, piece_bpe, quality_llr, sharding, superkmer, templates
+from capstan.llm import arc_convert, bbit_minhash, byte_cnn, cgk, hpy, piece_bpe, quality_llr, sharding, superkmer, templates
 from capstan.llm.common import table
 from capstan.session import scratch_path
 
@@ -41,6 +41,10 @@ def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.classify(docs, byte_cnn.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpy.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.main_text(table(spark, sf_dir, "pages"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op2_superkmer": op2_superkmer,
     "op3_sampled_splitters": op3_sampled_splitters,
     "op4_byte_cnn": op4_byte_cnn,
+    "op5_pitman_yor": op5_pitman_yor,
     "op6_page_templates": op6_page_templates,
     "op7_piece_bpe": op7_piece_bpe,
     "op8_arc_to_warc": op8_arc_to_warc,
