@@ -41,9 +41,9 @@ from capstan.llm.words import hash_runs, mix, slices, words
 @dataclass(frozen=True)
 class Settings:
     window: int = 13
-    minimiser: int = 4
+    minimiser: int = 3
     slice_bytes: int = 8 << 20       # documents looked at together in a task
-    bucket_bytes: int = 32 << 20     # packed words that a bucket should hold
+    bucket_bytes: int = 16 << 20     # packed words that a bucket should hold
     overfull: int = 4                # a bucket beyond so many times that is split
 
 
@@ -159,7 +159,7 @@ def _bucket_sizes(docs: DataFrame, s: Settings, buckets: int) -> dict[int, int]:
 
 def _pack(*arrays: np.ndarray) -> tuple[bytes, int]:
     raw = b"".join(a.tobytes() for a in arrays)
-    return pa.compress(raw, codec="zstd", asbytes=True), len(raw)
+    return pa.Codec("zstd", compression_level=4).compress(raw, asbytes=True), len(raw)
 
 
 def _windows_of(table: pa.Table, k: int):
