@@ -3,8 +3,10 @@
 Every literal that the reports compare against (task ids, tag ids, cut-off
 dates, excluded users, purchase-order types ...) is a field here, so a caller
 can re-aim a report without touching an operator.  ``Config()`` carries the
-production defaults; ``FIXTURE_CONFIG`` is the configuration that matches the
-test tables derived from the driver data (see ``capstan.sources.fixtures``).
+reports' own ids and cut-offs, except the pattern and the label of the named
+product tag: they have no default, and a report that needs them fails while it
+is planned when they are unset.  ``FIXTURE_CONFIG`` is the configuration that
+matches the test tables (see ``capstan.sources.fixtures``).
 """
 
 from __future__ import annotations
@@ -46,7 +48,6 @@ MODEL_3 = "Model 3 (EBOM)"
 MODEL_SHARED_SX = "Shared S/X"
 MODEL_X = "Model X"
 MODEL_S = "Model S"
-MODEL_ENERGY = "Energy"
 MODEL_OTHER = "Others/Inactive"
 
 PROGRAM_PASSTHROUGH = ("Subcontract", "Missing", "New", "BOM Error", "Rework", "Warp Error")
@@ -61,6 +62,8 @@ STATUS_NO_DATA = "No data"
 
 CAPACITY_CONTRACT = "Contract"
 CAPACITY_CURRENT = "Current Capacity"
+# The defaults of ``Config`` below are fixed values too: ids, codes, patterns and
+# cut-off dates that must equal the reports' for equal results.
 # ---------------------------------------------------------------------------
 
 
@@ -75,16 +78,17 @@ class Config:
     tag_model_s: int = 31
     tag_model_x: int = 30
     tag_model_3: int = 124
-    named_tag_pattern: str = "%Stationary Energy%"
+    named_tag_pattern: str | None = None      # no default: the product name is the deployment's
     named_tag_type_id: int = 2
-    energy_label: str = MODEL_ENERGY          # model label of parts carrying the named tag
+    energy_label: str | None = None           # model label of parts carrying the named tag; no default either
     excluded_user_ids: tuple[int, ...] = (2586, 2583, 2584)
     # task names that count towards the v1 status rollup:
     # name LIKE any of ``rollup_any`` OR name LIKE all of ``rollup_all``
     rollup_any: tuple[str, ...] = ("%capacity%",)
     rollup_all: tuple[str, ...] = ("%run%", "%rate%")
     # Plain (case-sensitive) string comparison by default; ``True`` switches
-    # LIKE filters to ILIKE as a case-insensitive source collation would.
+    # LIKE filters to ILIKE.  Equality, IN, lookups and merge keys follow when the
+    # sources are read as ``Sources.collated()``.
     case_insensitive: bool = False
 
     # purchasing
@@ -109,6 +113,13 @@ class Config:
         """Copy with ``as_of`` pinned, so every sub-plan sees the same instant."""
         return dataclasses.replace(self, as_of=self.as_of_ts())
 
+    def required(self, name: str) -> str:
+        """A setting without default; raises when it is unset."""
+        value = getattr(self, name)
+        if value is None:
+            raise ValueError(f"Config.{name} has no default and must be set for this report")
+        return value
+
     def replace(self, **kw) -> "Config":
         return dataclasses.replace(self, **kw)
 
@@ -116,6 +127,8 @@ class Config:
 # Configuration matching the derived test tables (FIXTURES.md conventions).
 FIXTURE_CONFIG = Config(
     as_of=dt.datetime(1998, 6, 15, 12, 0, 0),
+    named_tag_pattern="%Stationary Energy%",
+    energy_label="Energy",
     excluded_user_ids=(4, 7),
     date_pricing_cutoff=dt.datetime(1998, 6, 15),
     sample_cutoff=dt.datetime(2015, 10, 10),

@@ -62,7 +62,7 @@ def task_status(ppap_status: Column, is_part_defined: Column, status_id: Column,
 
 
 def model_label(is_3: Column, is_x: Column, is_s: Column, is_energy: Column,
-                energy_label: str = C.MODEL_ENERGY) -> Column:
+                energy_label: str) -> Column:
     """Vehicle program of a part from its latest model tags (flags are booleans, NULL = false)."""
     m3, mx, ms, te = (F.coalesce(c, F.lit(False)) for c in (is_3, is_x, is_s, is_energy))
     return (F.when(m3, C.MODEL_3)

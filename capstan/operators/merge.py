@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 
 
 def null_safe_merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                    suffixes: tuple[str, str] = ("_x", "_y"), hot_right_keys: bool = False) -> DataFrame:
+                    suffixes: tuple[str, str] = ("_x", "_y"), hot_right_keys: bool = False,
+                    null_keys: str = "match") -> DataFrame:
     """Join like ``pandas.merge(left, right, on=on, how=how, suffixes=suffixes)``.
 
-    * keys compare with ``<=>``, so NULL matches NULL (pandas behaviour);
-      Spark still plans an equi-join on (coalesce(key), isnull(key)) pairs
+    * ``null_keys='match'`` (pandas): keys compare with ``<=>``, so NULL matches
+      NULL; Spark still plans an equi-join on (coalesce(key), isnull(key)) pairs.
+      The output has NULL-left x NULL-right rows, so it grows with the product
+      of both groups.  Wanted when a NULL key is a value of its own and at
+      most a few right rows have it.
+    * ``null_keys='never'`` (SQL): a NULL key matches nothing; wanted when NULL
+      means "unknown".  The output stays linear however many NULLs there are.
     * one copy of each key column (the left one, coalesced for right/outer)
     * non-key columns present on both sides get ``suffixes``
     * column order: left columns, then right non-key columns
@@ -31,7 +37,12 @@ def null_safe_merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     rsel = [F.col(c).alias(f"__rk_{c}") for c in on] + \
            [F.col(c).alias(c + suffixes[1] if c in shared else c) for c in rcols if c not in on]
     l, r = left.select(*lsel), right.select(*rsel)
-    cond = [F.col(k).eqNullSafe(F.col(f"__rk_{k}")) for k in on]
+    if null_keys not in ("match", "never"):
+        raise ValueError(f"null_keys must be 'match' or 'never', not {null_keys!r}")
+    if null_keys == "match":
+        cond = [F.col(k).eqNullSafe(F.col(f"__rk_{k}")) for k in on]
+    else:
+        cond = [F.col(k) == F.col(f"__rk_{k}") for k in on]
     if hot_right_keys and how == "left":
         matched = l.join(r, cond, "inner")
         keys = r.select(*[f"__rk_{k}" for k in on]).distinct()

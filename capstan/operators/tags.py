@@ -24,7 +24,8 @@ from capstan.operators.latest import latest_per_key
 def named_tags(tag: DataFrame, cfg: Config) -> DataFrame:
     """TagIDs of enabled tags of the configured type whose name matches the pattern."""
     name = F.col("TagName")
-    match = name.ilike(cfg.named_tag_pattern) if cfg.case_insensitive else name.like(cfg.named_tag_pattern)
+    pattern = cfg.required("named_tag_pattern")
+    match = name.ilike(pattern) if cfg.case_insensitive else name.like(pattern)
     return (tag.where((F.col("Enabled") == 1) & (F.col("TagTypeID") == cfg.named_tag_type_id) & match)
             .select("TagID"))
 

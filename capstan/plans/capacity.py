@@ -10,7 +10,7 @@ Plan shape (current version)::
       ⟕ capacity tasks (task 40)                    (fan-out join, skew-safe)
       ⟕ SIE user, manager; buyer users, manager     (user dimension)
       -> distinct info rows
-      ⟕ latest contract quote, ⟕ latest current capacity (top-1 windows over lines)
+      ⟕ latest contract quote and current capacity (one top-1 window over the lines)
 
 Every step before the task join is per part, so the program filter runs on
 parts, not on tasks.  Left joins that contribute no
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from capstan import config as C
 from capstan.config import Config
 from capstan.functions.labels import capacity_status, effective_status, model_label, program_label, task_status
-from capstan.operators.joins import left_join_fanout
+from capstan.operators.joins import join_splittable, left_join_fanout
 from capstan.operators.latest import latest_per_key, ranked
 from capstan.operators.rollup import rollup_flags
 from capstan.operators.tags import tag_flags
@@ -87,7 +87,7 @@ def model_labels(src: Sources, cfg: Config) -> DataFrame:
     f = part_tag_flags(src, cfg)
     p = src["portal_part"].select("PartID").join(f, "PartID", "left")
     return p.select("PartID", model_label(F.col("is_model_3"), F.col("is_model_x"), F.col("is_model_s"),
-                                          F.col("is_energy"), cfg.energy_label).alias("Model"))
+                                          F.col("is_energy"), cfg.required("energy_label")).alias("Model"))
 
 
 def program_labels(src: Sources, cfg: Config) -> DataFrame:
@@ -172,12 +172,21 @@ def capacity_lines(src: Sources, cfg: Config) -> DataFrame:
     Columns: PartSupplierTaskID, QuoteDate, Quoted, Other4CreateDate,
     Measured, Potential, Designed, Theoretical.
     """
-    q = latest_contract_quote(src, cfg).select("PartSupplierTaskID", F.col("LatestUpdateDate").alias("QuoteDate"),
-                                               "Quoted")
-    c = latest_current_capacity(src, cfg).select("PartSupplierTaskID",
-                                                 F.col("LatestUpdateDate").alias("Other4CreateDate"), "Measured",
-                                                 "Potential", "Designed", "Theoretical")
-    return q.join(c, "PartSupplierTaskID", "full")
+    # one scan and one top-1 per (task, type); then at most one line of each type per task to put side by side
+    contract = (F.col("CapacityType") == C.CAPACITY_CONTRACT) & F.col("Quoted").isNotNull()
+    current = (F.col("CapacityType") == C.CAPACITY_CURRENT) & _has_amount()
+    lines = src["portal_capacity_line"].where(F.col("CapacityType").isin(C.CAPACITY_CONTRACT, C.CAPACITY_CURRENT)
+                                              & (contract | current))
+    latest = latest_per_key(lines, ["PartSupplierTaskID", "CapacityType"], _line_order())
+
+    def of(kind: str, value):
+        return F.max(F.when(F.col("CapacityType") == kind, value))
+
+    updated = F.coalesce("ModifyDate", "CreateDate")
+    return latest.groupBy("PartSupplierTaskID").agg(
+        of(C.CAPACITY_CONTRACT, updated).alias("QuoteDate"), of(C.CAPACITY_CONTRACT, F.col("Quoted")).alias("Quoted"),
+        of(C.CAPACITY_CURRENT, updated).alias("Other4CreateDate"),
+        *[of(C.CAPACITY_CURRENT, F.col(c)).alias(c) for c in ("Measured", "Potential", "Designed", "Theoretical")])
 
 
 def measured_status(src: Sources, cfg: Config) -> DataFrame:
@@ -245,7 +254,7 @@ def info_rows(src: Sources, cfg: Config, version: int = 2, users: bool = True,
         F.when(flags[2], F.col("PartID")).alias("PartID3"),
         F.when(flags[3], F.col("PartID")).alias("PartIDte"),
         _task_status(x, rollup, version == 2).alias("TaskStatus"),
-        model_label(flags[2], flags[1], flags[0], flags[3], cfg.energy_label).alias("Model"),
+        model_label(flags[2], flags[1], flags[0], flags[3], cfg.required("energy_label")).alias("Model"),
         program_label(F.col("ProgramTag"), flags[2], flags[0], flags[1], flags[3]).alias("Program"),
     )
 
@@ -268,12 +277,8 @@ def capacity_data(src: Sources, cfg: Config, version: int = 2) -> DataFrame:
                     F.col("SupplierName").alias("CapSupplierName"),
                     F.col("LatestEndDate").alias("LatestEffectiveDate"))
             .distinct())
-    q = latest_contract_quote(src, cfg).select("PartSupplierTaskID", F.col("LatestUpdateDate").alias("QuoteDate"),
-                                               "Quoted")
-    c = latest_current_capacity(src, cfg).select("PartSupplierTaskID",
-                                                 F.col("LatestUpdateDate").alias("Other4CreateDate"), "Measured",
-                                                 "Potential", "Designed", "Theoretical")
-    x = info.join(q, "PartSupplierTaskID", "left").join(c, "PartSupplierTaskID", "left")
+    # parts without a capacity task have a NULL task id: spread, they match no line
+    x = join_splittable(info, capacity_lines(src, cfg), ["PartSupplierTaskID"], "left", spread_nulls_by=["PartID", "SupplierCode"])
     return x.select(*[F.col(c) for c in REPORT_COLUMNS if c not in ("MeasuredStatus", "DesignedStatus")],
                     capacity_status(F.col("Measured"), F.col("Quoted"), "Measured").alias("MeasuredStatus"),
                     capacity_status(F.col("Designed"), F.col("Quoted"), "Designed").alias("DesignedStatus")

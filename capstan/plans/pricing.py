@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from capstan.config import Config
 from capstan.functions.dates import calendar_cutoff, elapsed_cutoff, previous_month_end
 from capstan.functions.labels import flag_is_null_or_zero, ts_lit
+from capstan.operators.joins import join_splittable
 from capstan.operators.latest import latest_per_key
 from capstan.operators.units import with_unit_divisor
 from capstan.sources import Sources
@@ -74,7 +75,7 @@ def bom_usage_latest(src: Sources, cfg: Config) -> DataFrame:
           .select("SalesBOMSampleID", "Name"))
     u = (e.join(samples, "SalesBOMSampleID", "inner")
          .groupBy("SalesBOMSampleID", "BOMExplosionDate", "Name", "DetailPartNumber", "UsageType")
-         .agg(F.sum("RunningQuantity").cast("bigint").alias("Quantity")))
+         .agg(F.sum("RunningQuantity").cast("double").alias("Quantity")))     # exact decimal sum
     return u.select("Name", "DetailPartNumber", "UsageType", "Quantity")
 
 
@@ -139,14 +140,17 @@ def date_priced_parts(src: Sources, cfg: Config, lines: DataFrame | None = None)
     lines = price_lines(src, cfg) if lines is None else lines
     line_parts = (lines.where(_date_rule(cfg, nonzero_price=False))
                   .select(F.col("LinePartID").alias("PartID")).distinct())
-    priced = src["erp_date_pricing"].where(F.col("StartDate") <= ts_lit(cfg.date_pricing_cutoff)).select("PartID")
+    # de-duplicated before the semi join: a hot part is one row of the right side
+    priced = (src["erp_date_pricing"].where(F.col("StartDate") <= ts_lit(cfg.date_pricing_cutoff))
+              .select("PartID").distinct())
     return (line_parts.join(priced, "PartID", "left_semi")
             .join(src["erp_part"].select("PartID"), "PartID", "left_semi"))
 
 
 def non_date_priced(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Open-PO prices of parts without date-based pricing (rows with NULL part kept)."""
-    return open_po_prices(src, cfg, lines).join(date_priced_parts(src, cfg, lines), "PartID", "left_anti")
+    return join_splittable(open_po_prices(src, cfg, lines), date_priced_parts(src, cfg, lines), ["PartID"], "left_anti",
+                           spread_nulls_by=["PurchaseOrderLineID"])
 
 
 def month_end_fx(src: Sources, cfg: Config) -> DataFrame:
@@ -178,13 +182,17 @@ def date_based_prices(src: Sources, cfg: Config, lines: DataFrame | None = None)
     currencies = src["erp_currency"].select(F.col("CurrencyID").alias("POCurrencyID"), "CurrencyCode",
                                             F.col("Name").alias("CurrencyName"))
     part_conv = src["erp_part_unit_conv"]
-    conv_fwd = part_conv.select(F.col("PartID").alias("__fp"), F.col("FromUnitID").alias("__ff"),
-                                F.col("ToUnitID").alias("__ft"), F.col("ConversionFactor").cast("double").alias("CF1"))
-    conv_rev = part_conv.select(F.col("PartID").alias("__rp"), F.col("FromUnitID").alias("__rf"),
-                                F.col("ToUnitID").alias("__rt"), F.col("ConversionFactor").cast("double").alias("CF2"))
-    rates = month_end_fx(src, cfg).select(F.col("FromCurrencyID").alias("__xf"),
-                                          F.col("ToCurrencyID").alias("__xt"), F.col("ExchangeRate").alias("__rate"))
-    x = (lines.join(latest, ["LinePartID", "POSupplierID"], "inner")
+    # One price per PO line: the original ranks a line's rows after all joins.  The lookups that can hold
+    # several rows per key are reduced first (largest rate, largest factor), so no line is ever multiplied.
+    factors = (part_conv.groupBy("PartID", "FromUnitID", "ToUnitID")
+               .agg(F.max(F.col("ConversionFactor").cast("double")).alias("factor")))
+    conv_fwd = factors.select(F.col("PartID").alias("__fp"), F.col("FromUnitID").alias("__ff"),
+                              F.col("ToUnitID").alias("__ft"), F.col("factor").alias("CF1"))
+    conv_rev = factors.select(F.col("PartID").alias("__rp"), F.col("FromUnitID").alias("__rf"),
+                              F.col("ToUnitID").alias("__rt"), F.col("factor").alias("CF2"))
+    rates = (month_end_fx(src, cfg).groupBy(F.col("FromCurrencyID").alias("__xf"), F.col("ToCurrencyID").alias("__xt"))
+             .agg(F.max("ExchangeRate").alias("__rate")))
+    x = (join_splittable(lines, latest, ["LinePartID", "POSupplierID"], "inner")
          .join(parts, "LinePartID", "inner")
          .join(suppliers, "POSupplierID", "inner")
          .join(units, F.col("StockUnitID") == F.col("UnitID"), "left_semi")

@@ -25,16 +25,19 @@ def merged_capacity_cost(src: Sources, cfg: Config) -> DataFrame:
                            how="left")
 
 
-def three_key_merge(left: DataFrame, right: DataFrame) -> DataFrame:
+def three_key_merge(left: DataFrame, right: DataFrame, null_keys: str = "match") -> DataFrame:
     """Left merge on (PartNumber, SupplierCode, TagName)."""
-    return null_safe_merge(left, right, ["PartNumber", "SupplierCode", "TagName"], how="left", hot_right_keys=True)
+    return null_safe_merge(left, right, ["PartNumber", "SupplierCode", "TagName"], how="left", hot_right_keys=True,
+                           null_keys=null_keys)
 
 
-def dashboard_left_merge(portal: DataFrame, erp: DataFrame) -> DataFrame:
+def dashboard_left_merge(portal: DataFrame, erp: DataFrame, null_keys: str = "match") -> DataFrame:
     """Portal rows left-merged with ERP rows on PartNumber."""
-    return null_safe_merge(portal, erp, ["PartNumber"], how="left", hot_right_keys=True)
+    return null_safe_merge(portal, erp, ["PartNumber"], how="left", hot_right_keys=True,
+                           null_keys=null_keys)
 
 
-def qualification_left_merge(erp: DataFrame, portal: DataFrame) -> DataFrame:
+def qualification_left_merge(erp: DataFrame, portal: DataFrame, null_keys: str = "match") -> DataFrame:
     """ERP rows left-merged with portal rows on (partnumber, suppliercode)."""
-    return null_safe_merge(erp, portal, ["partnumber", "suppliercode"], how="left", hot_right_keys=True)
+    return null_safe_merge(erp, portal, ["partnumber", "suppliercode"], how="left", hot_right_keys=True,
+                           null_keys=null_keys)

@@ -2,9 +2,10 @@
 
 ``QUERIES[key](spark, sf_dir) -> DataFrame`` runs one operator or report with
 ``FIXTURE_CONFIG`` over the domain tables derived from the driver parquet
-files in ``sf_dir``.  The derived tables are written once per session under
-``spark.checkpoint.dir`` (``Sources.stored_fixtures``) and read from there,
-like stored source tables.  Every query reads whole tables.
+files in ``sf_dir``.  The derived tables that a query needs are written once
+per application under ``spark.checkpoint.dir`` (``Sources.stored_fixtures``) and
+read from there, like stored source tables.  Every derived table keeps all rows
+of what it derives from, and every query reads whole tables.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from capstan.plans import reports as rep
 from capstan.session import scratch_path
 from capstan.sources import Sources
 from capstan.sources.files import sql_file_report
+from capstan.sources.tables import plain
 from capstan.streaming import accumulate_snapshots, land_increment, read_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +111,28 @@ def _report_write(spark, sf_dir):
     return read_report(spark, path, "parquet")
 
 
+def _report_write_csv(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    path = scratch_path(spark, "report-csv")
+    report = pr.qpv_data(s, CFG)
+    write_report(report, path, "csv")
+    return read_report(spark, path, "csv", report.schema)
+
+
+def _snapshot_append_csv(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    path = scratch_path(spark, "snapshot-csv")
+    append_snapshot(s["snapshot_history"], path, SNAPSHOT_SCHEMA, fmt="csv")
+    append_snapshot(s["snapshot_increment"], path, SNAPSHOT_SCHEMA, fmt="csv")
+    return read_snapshot(spark, path, SNAPSHOT_SCHEMA, fmt="csv")
+
+
+def _part_supplier_lookup_ci(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    mixed = Sources(spark, lambda n: s["portal_part_supplier_mixed" if n == "portal_part_supplier" else n])
+    return plain(cap.part_supplier_lookup(mixed.collated(), CFG))
+
+
 def _sql_file_report(spark, sf_dir):
     s = _src(spark, sf_dir)
     return sql_file_report(s, "part_supplier_tasks.sql", ["portal_part_supplier", "portal_task"])
@@ -167,5 +191,10 @@ QUERIES: dict[str, Query] = {
     "snapshot_append": _snapshot_append,
     "snapshot_stream": _snapshot_stream,
     "report_write": _report_write,
+    "report_write_csv": _report_write_csv,
+    "snapshot_append_csv": _snapshot_append_csv,
+    "part_supplier_lookup_ci": _part_supplier_lookup_ci,
+    "dashboard_left_merge_sql_nulls": lambda spark, sf: rep.dashboard_left_merge(
+        _src(spark, sf)["portal_dashboard"], _src(spark, sf)["erp_dashboard"], null_keys="never"),
     "sql_file_report": _sql_file_report,
 }

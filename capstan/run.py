@@ -53,6 +53,8 @@ def _sources(spark: SparkSession, a: argparse.Namespace) -> Sources:
 
 def _config(a: argparse.Namespace) -> Config:
     base = FIXTURE_CONFIG if a.fixtures and not a.as_of else Config()
+    named = {k: v for k in ("named_tag_pattern", "energy_label") if (v := getattr(a, k, None)) is not None}
+    base = base.replace(**named)
     return base.replace(as_of=dt.datetime.fromisoformat(a.as_of)) if a.as_of else base
 
 
@@ -65,6 +67,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     g.add_argument("--catalog")
     g.add_argument("--fixtures")
     src.add_argument("--as-of", dest="as_of", help="report time, ISO format (default: now)")
+    src.add_argument("--named-tag-pattern", help="LIKE pattern of the named product tag (capacity reports need it)")
+    src.add_argument("--energy-label", help="model label of parts with the named tag (capacity reports need it)")
     sub = ap.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("report", parents=[src])
     r.add_argument("name", choices=sorted(REPORTS))

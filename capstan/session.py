@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,11 +22,13 @@ DEFAULT_CONF = {
     # Python call-site capture costs several JVM round trips per Column call
     # while a plan is built; error messages lose the Python line only.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "capstan",
-                  driver_memory: str = "16g", extra: dict | None = None) -> SparkSession:
+                  driver_memory: str = "6g", extra: dict | None = None) -> SparkSession:
     """A local-mode session for tests and the benchmark.
 
     On a cluster, build the session the usual way and keep ``DEFAULT_CONF``;
@@ -46,8 +50,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered.
+    Read from the session.  Only in local mode (tests) a private folder is made
+    when it is unset, and removed when Python ends; on a cluster an unset
+    folder is an error, because executors do not share local folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,7 +60,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="capstan-ckpt-")
+        atexit.register(shutil.rmtree, conf, ignore_errors=True)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
 
@@ -77,4 +85,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/capstan/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "cut_lineage", "scratch_path"]
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables below the checkpoint folder (call when no result is read any more)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/capstan")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+__all__ = ["clean_scratch", "DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "cut_lineage", "scratch_path"]

@@ -10,13 +10,17 @@ typed timestamp literal differs: ``TSNTZ '...'`` renders as ``TIMESTAMP_NTZ``
 in Spark and ``TIMESTAMP`` in DuckDB, keeping every timestamp wall-clock
 (timestamp_ntz) like the parquet columns.
 
-Every derived table reads whole driver tables, so its size grows with them.
+Every derived table keeps every row of the table it derives from; a modulus picks
+a column's value, never the rows.  Three cases leave rows out because that is the
+feature: parts without a part-supplier record, the right side of a merge that lacks
+some parts, and a snapshot increment (``FILTERED``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+FILTERED = ("portal_part_supplier", "erp_dashboard", "snapshot_increment")
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -45,14 +49,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
 WHERE rn = 1"""),
 
     # ---------------------------------------------------------------- portal
-    "portal_part": _a("part", """
+    "portal_part": _a("part supplier customer", """
 SELECT p_partkey AS PartID,
        concat('P', lpad(cast(p_partkey AS string), 6, '0')) AS PartNumber,
        p_name AS Description,
        CASE WHEN p_size % 11 = 10 THEN NULL WHEN p_size % 5 = 0 THEN 1 ELSE 0 END AS FabricatedFlag,
-       CASE WHEN p_partkey % 53 = 0 THEN -1 ELSE p_partkey % 10 END AS PreferredSupplierID,
-       p_partkey % 29 AS SIEUserID,
-       CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE concat('B', cast(p_partkey % 13 AS string)) END AS BuyerCode,
+       CASE WHEN p_partkey % 53 = 0 THEN -1
+            ELSE p_partkey % (SELECT max(s_suppkey) + 1 FROM {supplier}) END AS PreferredSupplierID,
+       (p_partkey * 7) % (SELECT max(c_custkey) + 9 FROM {customer}) AS SIEUserID,
+       CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE concat('B', cast((p_partkey * 5) % (SELECT max(c_custkey) + 1 FROM {customer}) AS string)) END AS BuyerCode,
        CASE p_partkey % 6 WHEN 0 THEN NULL WHEN 1 THEN TSNTZ '1999-01-01 00:00:00'
             ELSE TSNTZ '1997-01-01 00:00:00' END AS EarliestEffectiveDateInBOM,
        CASE p_size % 4 WHEN 0 THEN NULL WHEN 1 THEN TSNTZ '1998-01-01 00:00:00'
@@ -69,15 +74,21 @@ SELECT 100000 + p.PartID AS PartSupplierID, p.PartID, p.PartNumber, s.SupplierCo
        CASE p.PartID % 4 WHEN 0 THEN 'Approved' WHEN 1 THEN 'D - Prototype / Deviation'
             WHEN 2 THEN 'Pending' END AS PPAPStatus,
        CASE WHEN p.PartID % 5 = 0 THEN NULL ELSE 1 END AS IsPartDefined,
-       p.PartID % 9 AS PartSupplierTagID
+       p.PartID % 27 AS PartSupplierTagID
 FROM {portal_part} p JOIN {portal_supplier} s ON p.PreferredSupplierID = s.SupplierID
 WHERE p.PartID % 7 <> 6"""),
+    # the same rows as a case-insensitive source may hold them
+    "portal_part_supplier_mixed": _a("portal_part_supplier", """
+SELECT PartSupplierID, PartID, CASE WHEN PartID % 3 = 1 THEN lower(PartNumber) ELSE PartNumber END AS PartNumber,
+       CASE PartID % 5 WHEN 1 THEN lower(SupplierCode) WHEN 2 THEN concat(SupplierCode, '  ') ELSE SupplierCode END AS SupplierCode,
+       PPAPStatus, IsPartDefined, PartSupplierTagID
+FROM {portal_part_supplier}"""),
     "portal_ps_tag": _a("nation", """
 SELECT cast(n_nationkey AS bigint) AS PartSupplierTagID,
        CASE n_nationkey WHEN 1 THEN 'Subcontract' WHEN 2 THEN 'Missing' WHEN 3 THEN 'New'
             WHEN 4 THEN 'BOM Error' WHEN 5 THEN 'Rework' WHEN 6 THEN 'Warp Error'
             ELSE 'Regular' END AS Tag
-FROM {nation} WHERE n_nationkey BETWEEN 1 AND 7"""),
+FROM {nation}"""),
     "portal_task": _a("orders", """
 SELECT o_orderkey AS PartSupplierTaskID,
        100000 + o_custkey AS PartSupplierID,
@@ -107,27 +118,29 @@ SELECT line_id AS CapacityStudyLineID, l_orderkey AS PartSupplierTaskID,
 FROM {line1}"""),
     "portal_part_tag": _a("line1", """
 SELECT line_id AS PartTagID, l_partkey AS PartID,
-       CASE l_linenumber WHEN 1 THEN 31 WHEN 2 THEN 30 WHEN 3 THEN 124
+       CASE WHEN l_orderkey % 6 <> 0 THEN cast(300 + l_orderkey % 6 AS int)
+            WHEN l_linenumber = 1 THEN 31 WHEN l_linenumber = 2 THEN 30 WHEN l_linenumber = 3 THEN 124
             ELSE 200 + l_linenumber END AS TagID,
        CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS Enabled,
        l_shipdate AS CreateDate
-FROM {line1} WHERE l_orderkey % 6 = 0"""),
+FROM {line1}"""),
     "portal_tag": _a("nation", """
 SELECT 200 + n_nationkey AS TagID,
        CASE n_nationkey WHEN 4 THEN 'Stationary Energy Pack' WHEN 5 THEN 'Old Stationary Energy'
             WHEN 6 THEN 'Stationary Energy label' ELSE 'Other' END AS TagName,
        CASE WHEN n_nationkey = 6 THEN 1 ELSE 2 END AS TagTypeID,
        CASE WHEN n_nationkey = 5 THEN 0 ELSE 1 END AS Enabled
-FROM {nation} WHERE n_nationkey BETWEEN 4 AND 7"""),
+FROM {nation}"""),
     "portal_user": _a("customer", """
 SELECT c_custkey AS UserID, c_name AS DisplayName,
-       CASE WHEN c_custkey % 8 = 7 THEN NULL ELSE c_custkey % 20 END AS ManagerUserID,
+       CASE WHEN c_custkey % 8 = 7 THEN NULL
+            ELSE (c_custkey * 11) % (SELECT max(c_custkey) + 1 FROM {customer}) END AS ManagerUserID,
        CASE WHEN c_custkey % 3 = 0 THEN ''
-            WHEN c_custkey % 3 = 1 AND c_custkey < 46 THEN concat('B', cast(c_custkey % 13 AS string))
+            WHEN c_custkey % 3 = 1 THEN concat('B', cast(c_custkey - c_custkey % 6 AS string))
        END AS SAPUserID
 FROM {customer}"""),
     "portal_status": _a("nation", """
-SELECT n_nationkey AS StatusID, n_name AS Status FROM {nation} WHERE n_nationkey BETWEEN 1 AND 7"""),
+SELECT n_nationkey AS StatusID, n_name AS Status FROM {nation}"""),
 
     # ------------------------------------------------------------------- ERP
     "erp_part": _a("portal_part", """
@@ -151,20 +164,21 @@ FROM {region}"""),
 SELECT 148 + l_suppkey % 6 AS SalesBOMSampleID,
        concat('P', lpad(cast(CASE WHEN l_partkey % 41 = 0 THEN l_partkey + 900000 ELSE l_partkey END
                              AS string), 6, '0')) AS DetailPartNumber,
-       CASE l_linenumber WHEN 1 THEN TSNTZ '1998-06-13 00:00:00'
-                         WHEN 2 THEN TSNTZ '1998-06-08 13:00:00'
-                         WHEN 3 THEN TSNTZ '1998-06-08 00:00:00'
-                         ELSE TSNTZ '1998-05-01 00:00:00' END AS BOMExplosionDate,
+       CASE WHEN l_orderkey % 3 <> 0 THEN TSNTZ '1998-04-01 00:00:00'
+            WHEN l_linenumber = 1 THEN TSNTZ '1998-06-13 00:00:00'
+            WHEN l_linenumber = 2 THEN TSNTZ '1998-06-08 13:00:00'
+            WHEN l_linenumber = 3 THEN TSNTZ '1998-06-08 00:00:00'
+            ELSE TSNTZ '1998-05-01 00:00:00' END AS BOMExplosionDate,
        CASE l_returnflag WHEN 'R' THEN 'Purchased' WHEN 'A' THEN 'Sub-contract'
             ELSE 'Fabricated' END AS UsageType,
-       CASE WHEN l_quantity > 48 THEN NULL ELSE cast(round(l_quantity) AS int) END AS RunningQuantity
-FROM {line1} WHERE l_orderkey % 3 = 0"""),
-    "erp_po": _a("orders", """
+       CASE WHEN l_quantity > 48 THEN NULL ELSE cast(round(l_quantity * 0.3, 4) AS decimal(18, 4)) END AS RunningQuantity
+FROM {line1}"""),
+    "erp_po": _a("orders supplier", """
 SELECT o_orderkey AS PurchaseOrderID,
        CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 1 WHEN '2' THEN 8 WHEN '3' THEN 9
             WHEN '4' THEN 17 ELSE 2 END AS PurchaseOrderTypeID,
        CASE o_orderstatus WHEN 'F' THEN 'C' WHEN 'O' THEN 'R' ELSE 'X' END AS Status,
-       o_custkey % 10 AS SupplierID,
+       o_custkey % (SELECT max(s_suppkey) + 1 FROM {supplier}) AS SupplierID,
        cast(o_custkey % 5 AS int) AS CurrencyID,
        o_orderdate AS CreateDate
 FROM {orders}"""),
@@ -173,37 +187,44 @@ SELECT line_id AS PurchaseOrderLineID, l_orderkey AS PurchaseOrderID,
        CASE WHEN l_partkey % 61 = 0 THEN NULL ELSE l_partkey END AS PartID,
        cast(CASE WHEN l_linenumber = 7 THEN 0 ELSE round(l_extendedprice / l_quantity) END
             AS decimal(18, 4)) AS UnitPrice,
-       cast(l_suppkey % 4 AS int) AS PurchaseUnitID,
+       cast(l_suppkey % 6 AS int) AS PurchaseUnitID,
        CASE l_linestatus WHEN 'F' THEN 'C' ELSE 'A' END AS LineStatus,
        CASE WHEN l_tax >= 0.08 THEN 1 WHEN l_tax >= 0.04 THEN 0 END AS DeliveryCompleteFlag,
        CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 0 END AS ReturnFlag,
        l_shipdate AS CreateDate
 FROM {line1}"""),
-    "erp_date_pricing": _a("line1", """
-SELECT line_id AS PartSupplierDatePricingID, l_partkey AS PartID, l_suppkey % 10 AS SupplierID,
-       cast(l_linenumber % 5 AS int) AS CurrencyID,
-       cast(round(l_extendedprice / 10) AS decimal(18, 4)) AS UnitPrice,
-       l_shipdate AS StartDate
-FROM {line1} WHERE l_partkey % 4 IN (2, 3)"""),
+    # parts 0 and 1 (mod 4) only have pricing that starts after every cut-off
+    "erp_date_pricing": _a("line1 erp_po", """
+SELECT l.line_id AS PartSupplierDatePricingID, l.l_partkey AS PartID,
+       CASE WHEN l.l_linenumber % 3 = 0 OR po.SupplierID IS NULL THEN l.l_suppkey ELSE po.SupplierID END AS SupplierID,
+       cast(l.l_linenumber % 5 AS int) AS CurrencyID,
+       cast(round(l.l_extendedprice / 10) AS decimal(18, 4)) AS UnitPrice,
+       CASE WHEN l.l_partkey % 4 IN (2, 3) THEN l.l_shipdate ELSE l.l_shipdate + INTERVAL 12 YEAR END AS StartDate
+FROM {line1} l LEFT JOIN {erp_po} po ON po.PurchaseOrderID = l.l_orderkey"""),
     "erp_currency": _a("nation", """
 SELECT n_nationkey AS CurrencyID, concat('C', cast(n_nationkey AS string)) AS CurrencyCode,
        concat('Currency ', cast(n_nationkey AS string)) AS Name,
        CASE WHEN n_nationkey = 4 THEN NULL ELSE cast(1 + n_nationkey * 0.25 AS double) END AS ExchangeRate
-FROM {nation} WHERE n_nationkey BETWEEN 0 AND 4"""),
-    "erp_fx_map": _a("nation", """
+FROM {nation}"""),
+    # a few pairs have two month-end rates on the same day
+    "erp_fx_map": _a("nation region", """
 SELECT n_nationkey % 5 AS FromCurrencyID, cast(floor(n_nationkey / 5) AS int) AS ToCurrencyID,
        CASE WHEN n_nationkey % 7 = 3 THEN 'Average' ELSE 'Month-end' END AS ExchangeRateType,
        CASE WHEN n_nationkey % 6 = 5 THEN TSNTZ '1998-04-30 00:00:00'
             ELSE TSNTZ '1998-05-31 00:00:00' END AS ValidFrom,
        cast(0.5 + n_nationkey * 0.125 AS double) AS ExchangeRate
-FROM {nation}"""),
-    "erp_unit": _a("region", "SELECT r_regionkey AS UnitID FROM {region} WHERE r_regionkey BETWEEN 0 AND 2"),
+FROM {nation}
+UNION ALL
+SELECT r_regionkey AS FromCurrencyID, cast((r_regionkey + 2) % 5 AS int) AS ToCurrencyID, 'Month-end' AS ExchangeRateType,
+       TSNTZ '1998-05-31 00:00:00' AS ValidFrom, cast(1.75 + r_regionkey * 0.5 AS double) AS ExchangeRate
+FROM {region}"""),
+    "erp_unit": _a("region", "SELECT r_regionkey AS UnitID FROM {region}"),
     "erp_unit_conv": _a("region", """
-SELECT CASE r_regionkey WHEN 0 THEN 1 WHEN 1 THEN 0 ELSE 2 END AS FromUnitID,
-       CASE r_regionkey WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS ToUnitID,
+SELECT CASE r_regionkey WHEN 0 THEN 1 WHEN 1 THEN 0 ELSE r_regionkey END AS FromUnitID,
+       CASE r_regionkey WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 3 THEN 4 ELSE 5 END AS ToUnitID,
        CASE r_regionkey WHEN 0 THEN cast(2 AS double) WHEN 1 THEN cast(4 AS double)
             ELSE cast(0.5 AS double) END AS ConversionFactor
-FROM {region} WHERE r_regionkey BETWEEN 0 AND 2"""),
+FROM {region}"""),
     "erp_part_unit_conv": _a("erp_part", """
 SELECT PartID, StockUnitID AS FromUnitID, 3 AS ToUnitID, cast(8 AS double) AS ConversionFactor
 FROM {erp_part} WHERE StockUnitID IS NOT NULL AND PartID % 2 = 0
@@ -215,28 +236,30 @@ SELECT PartID, StockUnitID AS FromUnitID, 1 AS ToUnitID, cast(16 AS double) AS C
 FROM {erp_part} WHERE StockUnitID IS NOT NULL AND PartID % 4 = 2 AND StockUnitID = 0
 UNION ALL
 SELECT PartID, 0 AS FromUnitID, StockUnitID AS ToUnitID, cast(0.5 AS double) AS ConversionFactor
-FROM {erp_part} WHERE StockUnitID IS NOT NULL AND PartID % 4 = 3 AND StockUnitID = 2"""),
-    "erp_buyer_mgr": _a("nation", """
-SELECT concat('B', cast(n_nationkey AS string)) AS BuyerCode,
-       concat('Buyer ', cast(n_nationkey AS string)) AS Buyer,
-       concat('Mgr ', cast(n_nationkey % 4 AS string)) AS Manager
-FROM {nation} WHERE n_nationkey BETWEEN 0 AND 10"""),
+FROM {erp_part} WHERE StockUnitID IS NOT NULL AND PartID % 4 = 3 AND StockUnitID = 2
+UNION ALL
+SELECT PartID, StockUnitID AS FromUnitID, 3 AS ToUnitID, cast(10 AS double) AS ConversionFactor
+FROM {erp_part} WHERE StockUnitID IS NOT NULL AND PartID % 4 = 2"""),
+    "erp_buyer_mgr": _a("customer", """
+SELECT concat('B', cast(c_custkey AS string)) AS BuyerCode, concat('Buyer ', cast(c_custkey AS string)) AS Buyer,
+       concat('Mgr ', cast(c_custkey % 4 AS string)) AS Manager
+FROM {customer}"""),
 
     # ------------------------------------------- inputs of the file-driven merges
     # The portal/ERP query files those scripts load are not available; these
     # stand-ins have the shape the merges need (shared key and non-key names,
-    # NULL keys on both sides).
+    # NULL keys on both sides; as many NULL part numbers on the right at every size).
     "portal_dashboard": _a("portal_part", """
 SELECT CASE WHEN PartID % 50 = 49 THEN NULL ELSE PartNumber END AS PartNumber,
        CASE WHEN PartID % 9 = 4 THEN NULL
-            ELSE concat('V', lpad(cast(PartID % 10 AS string), 4, '0')) END AS SupplierCode,
+            ELSE concat('V', lpad(cast(PartID % 997 AS string), 4, '0')) END AS SupplierCode,
        concat('open tasks ', cast(PartID % 5 AS string)) AS value,
        CASE PartID % 3 WHEN 0 THEN 'Tag A' WHEN 1 THEN 'Tag B' END AS TagName
 FROM {portal_part}"""),
     "erp_dashboard": _a("erp_part", """
-SELECT CASE WHEN PartID % 70 = 69 THEN NULL ELSE PartNumber END AS PartNumber,
+SELECT CASE WHEN PartID IN (70, 139, 160) THEN NULL ELSE PartNumber END AS PartNumber,
        CASE WHEN PartID % 9 = 4 THEN NULL
-            ELSE concat('V', lpad(cast(PartID % 10 AS string), 4, '0')) END AS SupplierCode,
+            ELSE concat('V', lpad(cast(PartID % 997 AS string), 4, '0')) END AS SupplierCode,
        PartSystem AS value,
        CASE PartID % 3 WHEN 0 THEN 'Tag A' WHEN 1 THEN 'Tag B' END AS TagName
 FROM {erp_part} WHERE PartID % 3 <> 0"""),

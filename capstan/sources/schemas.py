@@ -14,6 +14,9 @@ SCHEMAS: dict[str, str] = {
     "portal_part_supplier": (
         "PartSupplierID BIGINT, PartID BIGINT, PartNumber STRING, SupplierCode STRING, "
         "PPAPStatus STRING, IsPartDefined INT, PartSupplierTagID BIGINT"),
+    "portal_part_supplier_mixed": (
+        "PartSupplierID BIGINT, PartID BIGINT, PartNumber STRING, SupplierCode STRING, "
+        "PPAPStatus STRING, IsPartDefined INT, PartSupplierTagID BIGINT"),
     "portal_ps_tag": "PartSupplierTagID BIGINT, Tag STRING",
     "portal_task": (
         "PartSupplierTaskID BIGINT, PartSupplierID BIGINT, TaskID INT, TaskName STRING, "
@@ -36,7 +39,7 @@ SCHEMAS: dict[str, str] = {
     "erp_bom_sample": "SalesBOMSampleID BIGINT, Name STRING, CreateDate TIMESTAMP_NTZ",
     "erp_bom_explosion": (
         "SalesBOMSampleID BIGINT, DetailPartNumber STRING, BOMExplosionDate TIMESTAMP_NTZ, "
-        "UsageType STRING, RunningQuantity INT"),
+        "UsageType STRING, RunningQuantity DECIMAL(18,4)"),
     "erp_po": (
         "PurchaseOrderID BIGINT, PurchaseOrderTypeID INT, Status STRING, SupplierID BIGINT, "
         "CurrencyID INT, CreateDate TIMESTAMP_NTZ"),

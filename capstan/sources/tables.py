@@ -25,14 +25,15 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from capstan.session import scratch_path
 from capstan.sources import fixtures
 from capstan.sources.schemas import SCHEMAS
 
-_STORED_ROOT: dict[tuple[str, str], str] = {}          # (application, folder) -> written tables
-_STORED: dict[tuple[int, str], "Sources"] = {}          # (session, folder) -> Sources over them
-_STORED_LOCK = threading.Lock()
+_STORED: dict[tuple, tuple[str, set[str]]] = {}          # (application, folder, its files) -> (root, written tables)
+_STORED_LOCK = threading.RLock()
 
 
 class Sources:
@@ -111,42 +112,69 @@ class Sources:
 
     @classmethod
     def stored_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Sources":
-        """The derived test tables, written once per application and test folder, read as parquet.
+        """The derived test tables, written once per application and state of the test folder.
 
-        Each table is derived from already written inputs (dependency
-        order), so the de-duplicated line table is computed once instead of
-        once per consumer, and reports scan stored tables as they would in
-        production.  The folder lies under ``spark.checkpoint.dir``.
+        A table is written when it is first asked for, after the tables that
+        it derives from (those of one level as concurrent jobs), so a query
+        writes what it needs only and reports scan stored tables as they
+        would in production.  The folder lies under ``spark.checkpoint.dir``.
         """
         sf_dir = sf_dir.rstrip("/")
-        app_key = (spark.sparkContext.applicationId, sf_dir)
-        session_key = (id(spark), sf_dir)
+        key = (spark.sparkContext.applicationId, sf_dir, _listing(spark, sf_dir))
         with _STORED_LOCK:
-            stored = _STORED.get(session_key)
-            if stored is not None and stored.spark is spark:
-                return stored
-            root = _STORED_ROOT.get(app_key)
-            if root is None:
-                root = scratch_path(spark, "fixtures")
-                written: dict[str, str] = {}
-
-                def table(n: str) -> DataFrame:
-                    if n in fixtures.DRIVER_TABLES:
-                        return spark.read.parquet(f"{sf_dir}/{n}.parquet")
-                    return spark.read.parquet(written[n])
-
-                def write(n: str) -> None:
-                    ad = fixtures.ADAPTERS[n]
-                    df = spark.sql(fixtures.render(n, "spark"), **{i: table(i) for i in ad.inputs})
-                    df.write.mode("overwrite").parquet(f"{root}/{n}")
-
-                # tables of one dependency level are independent: write them as concurrent jobs
-                for level in fixtures.levels(fixtures.ADAPTERS):
+            root, written = _STORED.setdefault(key, (scratch_path(spark, "fixtures"), set()))
+
+        def table(n: str) -> DataFrame:
+            return spark.read.parquet(f"{sf_dir}/{n}.parquet" if n in fixtures.DRIVER_TABLES else f"{root}/{n}")
+
+        def write(n: str) -> None:
+            ad = fixtures.ADAPTERS[n]
+            df = spark.sql(fixtures.render(n, "spark"), **{i: table(i) for i in ad.inputs})
+            df.write.mode("overwrite").parquet(f"{root}/{n}")
+
+        def load(n: str) -> DataFrame:
+            with _STORED_LOCK:
+                for level in fixtures.levels([n]):
+                    missing = [x for x in level if x not in written]
                     with ThreadPoolExecutor(max_workers=4) as pool:
-                        list(pool.map(write, level))
-                    written.update({n: f"{root}/{n}" for n in level})
-                _STORED_ROOT[app_key] = root
-            # one Sources per session and folder: each table's DataFrame
-            # (file listing, footer schema) is created once and reused
-            stored = _STORED[session_key] = cls.parquet(spark, root)
-        return stored
+                        list(pool.map(write, missing))
+                    written.update(missing)
+            return table(n)
+
+        return cls(spark, load)
+
+    def prepare(self, names=None) -> "Sources":
+        """Load ``names`` (all test tables by default) now."""
+        for n in fixtures.ADAPTERS if names is None else names:
+            self[n]
+        return self
+
+    def collated(self, collation: str = "UTF8_LCASE_RTRIM") -> "Sources":
+        """The same tables with their strings under ``collation``.
+
+        Equality, IN, joins and grouping then ignore case and trailing
+        blanks, as a case-insensitive source database does.  ``plain`` turns a
+        result's strings back into ordinary ones.
+        """
+        return Sources(self.spark, lambda n: _recollated(self[n], collation))
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """``df`` with ordinary string columns."""
+    return _recollated(df, "UTF8_BINARY")
+
+
+def _recollated(df: DataFrame, collation: str) -> DataFrame:
+    return df.select(*[F.collate(F.col(f.name), collation).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _listing(spark: SparkSession, folder: str) -> tuple:
+    """Name, size and time of the files of the driver tables: stored tables are not served after they change."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for n in fixtures.DRIVER_TABLES:
+        for f in fs.listStatus(path(f"{folder}/{n}.parquet")):
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))

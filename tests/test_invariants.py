@@ -74,7 +74,8 @@ def test_production_defaults_build_and_run(spark):
     """Config() (as_of = now, production ids and cut-offs) plans and runs every report."""
     from capstan.config import Config
     src = Sources.stored_fixtures(spark, SF)
-    for cfg in (Config(), Config(case_insensitive=True)):
+    named = {"named_tag_pattern": "%Stationary Energy%", "energy_label": "Energy"}
+    for cfg in (Config(**named), Config(case_insensitive=True, **named)):
         merged = rep.merged_capacity_cost(src, cfg)
         assert len(merged.columns) == 42
         merged.write.format("noop").mode("overwrite").save()
@@ -87,3 +88,74 @@ def test_materialised_price_lines_give_same_prices(spark):
     lazy = pr.current_price(src, CFG)
     shared = pr.current_price(src, CFG, cut_lineage(pr.price_lines(src, CFG)))
     assert _rows(lazy) == _rows(shared) and lazy.count() > 0
+
+
+def test_named_tag_settings_have_no_default(spark):
+    """A report that needs the named tag fails while planned instead of dropping parts."""
+    import pytest
+
+    from capstan.config import Config
+    src = Sources.stored_fixtures(spark, SF)
+    with pytest.raises(ValueError, match="named_tag_pattern"):
+        cap.capacity_data(src, Config())
+    with pytest.raises(ValueError, match="energy_label"):
+        cap.capacity_data(src, Config(named_tag_pattern="%x%"))
+
+
+def test_duplicate_lookups_keep_one_price_per_line(spark):
+    """Rates and part conversions may repeat a key: still one row per PO line, the one ranked first."""
+    src = Sources.stored_fixtures(spark, SF)
+    base = pr.date_based_prices(src, CFG)
+    twice = {"erp_fx_map": src["erp_fx_map"].union(src["erp_fx_map"].withColumn("ExchangeRate", F.col("ExchangeRate") / 2)),
+             "erp_part_unit_conv": src["erp_part_unit_conv"].union(
+                 src["erp_part_unit_conv"].withColumn("ConversionFactor", F.col("ConversionFactor") / 2))}
+    again = pr.date_based_prices(Sources(spark, lambda n: twice[n] if n in twice else src[n]), CFG)
+    assert again.groupBy("PurchaseOrderLineID").count().where("count > 1").count() == 0
+    assert _rows(again) == _rows(base) and base.count() > 0
+
+
+def test_fractional_quantities_survive(spark):
+    """The usage sum keeps fractions (a tenth of the quantities gives a tenth of the sum)."""
+    src = Sources.stored_fixtures(spark, SF)
+    total = pr.bom_usage_latest(src, CFG).agg(F.sum("Quantity")).first()[0]
+    tenth = src["erp_bom_explosion"].withColumn("RunningQuantity", (F.col("RunningQuantity") / 10).cast("decimal(18,4)"))
+    small = pr.bom_usage_latest(Sources(spark, lambda n: tenth if n == "erp_bom_explosion" else src[n]), CFG)
+    assert abs(small.agg(F.sum("Quantity")).first()[0] - total / 10) < 1e-6
+    assert total % 1 != 0
+
+
+def test_derived_tables_keep_all_rows(spark):
+    """A derived table has every row of the table it derives from (listed feature cases aside)."""
+    from capstan.sources import fixtures
+    src = Sources.stored_fixtures(spark, SF)
+    count = {n: spark.read.parquet(f"{SF}/{n}.parquet").count() for n in fixtures.DRIVER_TABLES}
+    for n, ad in fixtures.ADAPTERS.items():
+        count[n] = src[n].count()
+        if n in fixtures.FILTERED or n == "line1":
+            continue
+        assert count[n] >= count[ad.inputs[0]] or n == "erp_part_unit_conv", n
+    suppliers = src["erp_po"].select("SupplierID").distinct().count()
+    assert suppliers == count["supplier"] == src["erp_date_pricing"].select("SupplierID").distinct().count()
+
+
+def test_merge_null_rules(spark):
+    """null_keys='match' is pandas' rule, 'never' is SQL's; both keep every left row."""
+    left = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, x int")
+    right = spark.createDataFrame([(None, 10), (None, 11), ("a", 12)], "k string, y int")
+    from capstan.operators import null_safe_merge
+    for hot in (False, True):
+        match = null_safe_merge(left, right, ["k"], hot_right_keys=hot)
+        never = null_safe_merge(left, right, ["k"], hot_right_keys=hot, null_keys="never")
+        assert match.count() == 4 and never.count() == 3
+        assert never.where("k is null").first()["y"] is None
+
+
+def test_case_and_blank_insensitive_lookup(spark):
+    """Under the collation, mixed-case and blank-padded codes join like the plain ones."""
+    from capstan.sources.tables import plain
+    src = Sources.stored_fixtures(spark, SF)
+    mixed = Sources(spark, lambda n: src["portal_part_supplier_mixed" if n == "portal_part_supplier" else n])
+    want = cap.part_supplier_lookup(src, CFG)
+    got = plain(cap.part_supplier_lookup(mixed.collated(), CFG)).select(*want.columns)
+    found = lambda df: df.where("PartSupplierID is not null").count()                   # noqa: E731
+    assert found(got) == found(want) > found(cap.part_supplier_lookup(mixed, CFG))

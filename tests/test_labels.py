@@ -60,8 +60,8 @@ def test_model_and_program_labels(spark):
             (None, None, True, None, None), (None, None, None, True, None), (None, None, None, None, None),
             (None, None, None, None, "Rework"), (None, None, None, None, "Regular"), (True, None, None, None, "New")]
     schema = "m3 boolean, mx boolean, ms boolean, te boolean, tag string"
-    model = _eval(spark, rows, schema, model_label(F.col("m3"), F.col("mx"), F.col("ms"), F.col("te")))
-    assert model == [C.MODEL_3, C.MODEL_SHARED_SX, C.MODEL_X, C.MODEL_S, C.MODEL_ENERGY, C.MODEL_OTHER,
+    model = _eval(spark, rows, schema, model_label(F.col("m3"), F.col("mx"), F.col("ms"), F.col("te"), C.FIXTURE_CONFIG.energy_label))
+    assert model == [C.MODEL_3, C.MODEL_SHARED_SX, C.MODEL_X, C.MODEL_S, C.FIXTURE_CONFIG.energy_label, C.MODEL_OTHER,
                      C.MODEL_OTHER, C.MODEL_OTHER, C.MODEL_3]
     prog = _eval(spark, rows, schema, program_label(F.col("tag"), F.col("m3"), F.col("ms"), F.col("mx"), F.col("te")))
     assert prog == ["Model 3", C.PROGRAM_EXISTING, C.PROGRAM_EXISTING, C.PROGRAM_EXISTING, C.PROGRAM_EXISTING,

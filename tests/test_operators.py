@@ -42,7 +42,7 @@ def test_ranked_matches_window_with_hot_key(spark):
 
 
 def test_tag_flags_latest_then_enabled_vs_enabled_then_any(spark):
-    cfg = Config()
+    cfg = Config(named_tag_pattern="%Stationary Energy%")
     pt = spark.createDataFrame([
         # part 1: tag 31 latest row disabled (older enabled row must not count)
         (1, 1, 31, 1, D(2020, 1, 1)), (2, 1, 31, 0, D(2020, 2, 1)),
