@@ -103,4 +103,54 @@ SELECT split.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n
 FROM split LEFT JOIN kept ON split.doc_id = kept.doc_id
 """
 
-ORACLE: dict[str, str] = {"op2_superkmer": OP2_SQL}
+# digests spelled out from the hex SHA-1, five bits a letter
+OP8_SQL = r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
+), d AS (
+  SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, sha1(b) AS h FROM p
+), c AS (
+  SELECT page_id, payload_bytes, h,
+    list_transform(range(0, 8), lambda i: list_sum(list_transform(range(1, 6), lambda j:
+      (strpos('0123456789abcdef', substr(h, CAST(5 * i + j AS BIGINT), 1)) - 1) * CAST(power(16, 5 - j) AS BIGINT)))) AS g
+  FROM d
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(floor(g[k // 4 + 1] / power(32, 3 - k % 4)) AS BIGINT) % 32 + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = max(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id < max(page_id) OVER w THEN max(page_id) OVER w END AS refers_to
+FROM c WINDOW w AS (PARTITION BY h, payload_bytes)
+"""
+
+# all pairs of documents that share a shingle, then everything reachable over the links
+OP10_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), parts AS (
+  SELECT doc_id, CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                      WHEN len(w) = 1 THEN w ELSE [] END AS s FROM split
+), shingle AS (
+  SELECT DISTINCT doc_id, unnest(s) AS s FROM parts
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM common JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)
+), both_ways AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach AS (
+  SELECT a AS doc_id, a AS other FROM both_ways
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON e.a = r.other
+), least AS (
+  SELECT doc_id, min(other) AS component FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id,
+       coalesce(component, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN size ON size.doc_id = d.doc_id LEFT JOIN least ON least.doc_id = d.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op2_superkmer": OP2_SQL, "op8_arc_to_warc": OP8_SQL, "op10_bbit_minhash": OP10_SQL}
