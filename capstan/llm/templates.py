@@ -49,9 +49,9 @@ FURNITURE_NAMES = set("ad ads advert adverts advertisement banner breadcrumb bre
                       "recommended related respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar "
                       "widget".split())
 ARTICLE = {"article", "main"}
-CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
+CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}}
-BARRIER = set("article aside body div footer header main nav ol section table td ul".split())
+BARRIER = set("article aside blockquote body button div fieldset footer form header main nav ol section table td ul".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|"
@@ -122,10 +122,10 @@ def parse(html: str) -> Page:
         if name == "br":
             parts.append(" ")
         for depth, frame in enumerate(reversed(stack)):
-            if frame[0] in CLOSES.get(name, ()):
+            if frame[0] in CLOSES.get(name, ()) or (frame[0] == "p" and name in BLOCK):      # a block ends a paragraph
                 pop(depth + 1)
                 break
-            if frame[0] in BARRIER:
+            if frame[0] in BARRIER or (frame[0] in BLOCK and name not in CLOSES):
                 break
         names = [w for x in _ATTR.findall(m["attrs"] or m["attrs2"] or "") for w in re.split(r"[^a-z0-9]+", "".join(x).lower()) if w]
         outer = stack[-1] if stack else ("", "", False, False)
@@ -198,7 +198,7 @@ def deduce(pages: list[Page]) -> Template | None:
         for b in p.blocks:
             times[b.path, b.text] += 1
     constant = {k for k, c in times.items() if n >= SUPPORT and c >= n}
-    opened = [t for t in skeleton if not t.startswith("/")]
+    opened = [t for t in skeleton if not t.startswith("//")]
     for p in pages:
         for b in p.blocks:
             if (b.path, b.text) not in constant and not b.furniture:
