@@ -34,6 +34,7 @@ from capstan.operators.latest import latest_per_key, ranked
 from capstan.operators.rollup import rollup_flags
 from capstan.operators.tags import tag_flags
 from capstan.operators.users import buyer_users, with_user
+from capstan.session import stored_table
 from capstan.sources import Sources
 
 INFO_COLUMNS = ["SupplierCode", "SupplierName", "PartSupplierTaskID", "PartSupplierID", "ProgramTag", "PartID",
@@ -226,6 +227,8 @@ def info_rows(src: Sources, cfg: Config, version: int = 2, users: bool = True,
          .join(part_tag_flags(src, cfg), "PartID", "left"))
     flags = [F.coalesce(F.col(c), F.lit(False)) for c in ("is_model_s", "is_model_x", "is_model_3", "is_energy")]
     x = x.where(flags[0] | flags[1] | flags[2] | F.col("ProgramTag").isNotNull() | flags[3])
+    # one row per part-supplier, small against the tasks: stored once, read by both branches of the fan-out join
+    x = stored_table(x, "capacity-parts")
     # tasks per part-supplier: the fan-out join, safe against a hot part-supplier
     x = left_join_fanout(x, capacity_tasks(src, cfg), ["PartSupplierID"])
     if users:

@@ -30,6 +30,7 @@ from capstan.functions.labels import flag_is_null_or_zero, ts_lit
 from capstan.operators.joins import join_splittable
 from capstan.operators.latest import latest_per_key
 from capstan.operators.units import with_unit_divisor
+from capstan.session import stored_table
 from capstan.sources import Sources
 
 PRICE_COLUMNS = ["PurchaseOrderTypeID", "PurchaseOrderLineID", "PartNumber", "UnitPrice", "CurrencyCode",
@@ -94,12 +95,9 @@ def price_lines(src: Sources, cfg: Config) -> DataFrame:
     """PO lines joined to their PO, kept if either price rule can read them.
 
     The filter is the union of the open-price rule and the date-price rule;
-    each rule re-applies its own filter on top.  Left lazy, Catalyst pushes
-    each rule's filter into its own column-pruned scan, so every shuffle is
-    sized by its own rule's selectivity.  Materialising the union instead
-    (``capstan.session.cut_lineage``, then ``lines=`` of the price functions)
-    writes the large open-price subset once more than it saves; it only pays
-    when the rules select nearly the same lines.
+    each rule re-applies its own filter on top.  Functions that need several
+    rules store this join once (``shared_lines``), so the line table is
+    scanned and shuffled once, whatever number of rules reads it.
     """
     statuses = sorted(set(cfg.open_po_statuses) | {cfg.date_priced_po_status})
     types = sorted(set(cfg.price_po_types) | {cfg.date_priced_po_type})
@@ -109,6 +107,11 @@ def price_lines(src: Sources, cfg: Config) -> DataFrame:
                      & F.col("LineStatus").isin(*line_statuses))
 
 
+def shared_lines(src: Sources, cfg: Config) -> DataFrame:
+    """``price_lines`` stored once in the shared checkpoint folder (an eager step)."""
+    return stored_table(price_lines(src, cfg), "price-lines")
+
+
 def _open_rule(cfg: Config):
     return (F.col("Status").isin(*cfg.open_po_statuses) & F.col("PurchaseOrderTypeID").isin(*cfg.price_po_types)
             & F.col("LineStatus").isin(*cfg.open_line_statuses) & (F.col("UnitPrice") != 0))
@@ -149,6 +152,7 @@ def date_priced_parts(src: Sources, cfg: Config, lines: DataFrame | None = None)
 
 def non_date_priced(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Open-PO prices of parts without date-based pricing (rows with NULL part kept)."""
+    lines = shared_lines(src, cfg) if lines is None else lines
     return join_splittable(open_po_prices(src, cfg, lines), date_priced_parts(src, cfg, lines), ["PartID"], "left_anti",
                            spread_nulls_by=["PurchaseOrderLineID"])
 
@@ -215,6 +219,7 @@ def date_based_prices(src: Sources, cfg: Config, lines: DataFrame | None = None)
 
 def price_candidates(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Open-PO prices (without date-priced parts) followed by date-based prices."""
+    lines = shared_lines(src, cfg) if lines is None else lines
     return non_date_priced(src, cfg, lines).unionByName(date_based_prices(src, cfg, lines))
 
 

@@ -85,6 +85,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/capstan/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as parquet below the checkpoint folder and read from there (an eager step).
+
+    Unlike a checkpoint the result is computed once, and later readers prune
+    columns and push filters into it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Delete the scratch tables below the checkpoint folder (call when no result is read any more)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -92,4 +103,4 @@ def clean_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-__all__ = ["clean_scratch", "DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "cut_lineage", "scratch_path"]
+__all__ = ["clean_scratch", "DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "cut_lineage", "stored_table", "scratch_path"]
