@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from capstan.llm.common import stored
+
 GROUP = 64               # pages of a host looked at together
 SUPPORT = 8              # distinct pages that must repeat a text block before it counts as template
 
@@ -251,8 +253,12 @@ def main_text(pages: DataFrame, group: int = GROUP) -> DataFrame:
     own = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     own = own.withColumn("host", F.coalesce(host, F.lit("")))
-    sizes = own.groupBy("host").agg(F.ceil(F.count("*") / group).alias("parts"))
-    dealt = own.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")))
+    # stored, so that its size is known when the join is planned: few hosts are broadcast by Spark's own
+    # size check, many are joined by shuffle
+    sizes = stored(own.groupBy("host").agg(F.ceil(F.count("*") / group).alias("parts")), "page-hosts")
+    # one key of host and part: a partitioning by host alone would not do, a host's parts go to different tasks
+    cell = F.struct("host", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")).alias("part"))
+    dealt = own.join(sizes, "host").select(cell.alias("cell"), "page_id", "url", "html")
 
     def run(table: pa.Table) -> pa.Table:
         ids, urls, sources = (table[c].to_pylist() for c in ("page_id", "url", "html"))
@@ -272,4 +278,4 @@ def main_text(pages: DataFrame, group: int = GROUP) -> DataFrame:
         return pa.table([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(out, pa.string()),
                          pa.array([len(t) for t in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return dealt.select("host", "part", "page_id", "url", "html").groupBy("host", "part").applyInArrow(run, RESULT)
+    return dealt.groupBy("cell").applyInArrow(run, RESULT)
