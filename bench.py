@@ -39,7 +39,7 @@ HEADLINE = [
     "part_tag_flags",
     "ranked_scored_tasks",
 ]
-SIDE_EFFECTS = {"snapshot_append", "snapshot_stream", "report_write"}
+SIDE_EFFECTS = {"snapshot_append", "snapshot_append_csv", "snapshot_stream", "report_write", "report_write_csv"}
 
 
 def main() -> None:
