@@ -357,7 +357,7 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     """``docs`` with repeated passages cut out of ``text`` (kept words joined by one space).
 
     Texts that lose nothing, and all other columns, stay as they are; a column
-    ``n_chars`` is set to the new length where the text changed.
+    integer column ``n_chars`` is set to the new length where the text changed.
     """
     k = settings.window
     schema = docs.schema
@@ -367,18 +367,20 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFram
             names = [n.lower() for n in b.schema.names]
             at = names.index("text")
             texts = b.column(at).to_pylist()
+            sizes = names.index("n_chars") if "n_chars" in names else None
+            lengths = b.column(sizes).to_pylist() if sizes is not None else []
             row = 0
             for _, n_removed, text, off in _kept(b.column(at), b.column(b.num_columns - 2), b.column(b.num_columns - 1), k):
                 for i in np.flatnonzero(n_removed).tolist():
                     texts[row + i] = text[off[i]:off[i + 1]].decode()
+                    if sizes is not None:
+                        lengths[row + i] = len(texts[row + i])
                 row += len(n_removed)
             cols = b.columns[:-2]
             cols[at] = pa.array(texts, pa.string())
+            if sizes is not None:
+                cols[sizes] = pa.array(lengths, cols[sizes].type)
             yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     joined = _with_ranges(docs, settings)
-    out = joined.mapInArrow(run, schema)
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("text").isNotNull(), F.char_length("text").cast(schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", changed)
-    return out.select(*docs.columns)
+    return joined.mapInArrow(run, schema)

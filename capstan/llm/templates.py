@@ -46,8 +46,8 @@ RAW = set("script style noscript template textarea title svg iframe object".spli
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
             "h4 h5 h6 head header hr html li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 FURNITURE = set("aside button dialog footer form head iframe menu nav noscript object script select style svg template textarea title".split())
-FURNITURE_NAMES = set("ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
-                      "form login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo "
+FURNITURE_NAMES = set("ad ads adsbygoogle advert adverts advertisement banner breadcrumb breadcrumbs comment commentlist comments consent cookie cookies disqus footer "
+                      "form gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo "
                       "recommended related respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar "
                       "widget".split())
 ARTICLE = {"article", "main"}

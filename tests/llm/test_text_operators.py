@@ -143,6 +143,11 @@ def test_substring_dedup_changes_only_what_repeats(spark, odd, empty):
         n, g, kept = next((n, g, k) for j, n, g, k in want if j == (-1 if i is None else i) and n == len(split_words(t)))
         expected.append((-1 if i is None else i, kept if g else t or ""))
     assert texts == sorted(expected)
+    # lengths follow the text where it changed, and only there
+    sized = superkmer.remove_repeats(odd.selectExpr("doc_id", "text", "-7L as n_chars")).collect()
+    raw_texts = {(-1 if i is None else i, t) for i, t in raw}
+    assert all(r.n_chars == (-7 if (-1 if r.doc_id is None else r.doc_id, r.text) in raw_texts else len(r.text)) for r in sized)
+    assert any(r.n_chars != -7 for r in sized)
     assert superkmer.substring_digests(empty).count() == 0 and superkmer.remove_repeats(empty).count() == 0
 
 
