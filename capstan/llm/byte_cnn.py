@@ -34,14 +34,14 @@ LAGS = range(2, 21)           # distances at which an echo is looked for
 @dataclass(frozen=True)
 class Settings:
     fit_rows: int = 4000
-    fit_chunks: int = 6
+    fit_chunks: int = 4
     chunk: int = 512
     overlap: int = 64
     step: int = 4
     echo: int = 6
     width: int = 7            # numbers per embedded byte (the echo makes one more)
     filters: int = 32
-    updates: int = 900        # gradient steps, whatever the size of the sample
+    updates: int = 450        # gradient steps, whatever the size of the sample
     batch: int = 64
     rate: float = 4e-3
     cut: float = 0.7          # predicted 1 from this score on
@@ -195,7 +195,9 @@ def train(texts: list[bytes], labels: np.ndarray, s: Settings) -> Network:
             ge = np.zeros_like(net.embed)
             for rows_at, kernel in ((best, net.first), (best + 1, net.second)):
                 back = (g[:, :, None] * kernel.T[None]).reshape(*g.shape, s.step, s.width + 1)[..., :-1]
-                np.add.at(ge, steps[chunk, rows_at].ravel(), back.reshape(-1, s.width))
+                at, back = steps[chunk, rows_at].ravel(), back.reshape(-1, s.width)
+                for c in range(s.width):
+                    ge[:, c] += np.bincount(at, weights=back[:, c], minlength=257)
             grad["embed"] = ge
             t += 1
             for k in (*names, "out_bias"):
