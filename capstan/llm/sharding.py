@@ -46,7 +46,7 @@ def _range_of(key: Column, splitters: list[int]) -> Column:
     """Number of splitters at or below ``key``: a binary search over the literal array."""
     if not splitters:
         return F.lit(0)
-    cuts = F.array(*[F.lit(x) for x in splitters]) if len(splitters) < 2 else F.expr("array(" + ",".join(f"{x}L" for x in splitters) + ")")
+    cuts = F.expr("array(" + ",".join(f"{x}L" for x in splitters) + ")")
     steps = len(splitters).bit_length()
     powers = F.expr("array(" + ",".join(str(1 << s) for s in reversed(range(steps))) + ")")
     return F.aggregate(

@@ -162,8 +162,8 @@ def _pack(*arrays: np.ndarray) -> tuple[bytes, int]:
     return pa.Codec("zstd", compression_level=4).compress(raw, asbytes=True), len(raw)
 
 
-def _windows_of(table: pa.Table, k: int):
-    """All windows of a bucket: (canonical bytes, word starts, word ends, window words, super-k-mer, its columns)."""
+def _super_kmers(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """All super-k-mers of a bucket: (doc_id, text mark, first word, bytes) of each, and the text of all."""
     ids, marks, begin, length, text = [], [], [], [], []
     for blob, raw, n in zip(table["blob"], table["raw"].to_pylist(), table["n"].to_pylist()):
         buf = pa.decompress(blob.as_buffer(), raw, codec="zstd", asbytes=True)
@@ -190,7 +190,7 @@ def _differs(text: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray, b
 
 def _settle(table: pa.Table, k: int) -> tuple[np.ndarray, ...]:
     """(doc_id, text mark, first start, last start) of the windows that a smaller document also has."""
-    ids, marks, begin, length, text = _windows_of(table, k)
+    ids, marks, begin, length, text = _super_kmers(table)
     offsets = np.concatenate([[0], np.cumsum(length)])
     starts, ends, first = words(text, offsets)
     h = hash_runs(text, starts, ends)
