@@ -14,7 +14,9 @@ blocks, each with the path of elements around it.
    element are the article; without one, the deepest skeleton element that holds
    most of the varying text is.  Slots in menus, page headers, footers, sidebars,
    notices, adverts, forms, scripts, styles and reader comments are left out, as
-   are blocks that the template repeats on every page outside an article.
+   are blocks that the template repeats on every page outside an article.  A class,
+   id or role decides only below the article: on the page's body, its main or article
+   element, or the elements around the article it says nothing.
 
 A page without its group's article element, or alone on its host, is read by its
 own elements.  Defined cases: NULL or empty html gives the empty text; a NULL url
@@ -51,6 +53,7 @@ FURNITURE_NAMES = set("ad ads adsbygoogle advert adverts advertisement banner br
                       "recommended related respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar "
                       "widget".split())
 ARTICLE = {"article", "main"}
+ROOTS = {"html", "body", "main"}                           # never furniture by name
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}}
 BARRIER = set("article aside blockquote body button div fieldset footer form header main nav ol section table td ul".split())
@@ -65,7 +68,9 @@ _ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 class Block:
     text: str
     path: str
-    furniture: bool
+    furniture: bool                      # by an element's tag
+    marks: tuple[tuple[str, bool], ...]  # elements around it whose names are those of furniture: path, all words of a name are
+    roots: tuple[tuple[int, int, int], ...]   # article elements around it, none within an article: number, whole marks, depth
     articles: tuple[str, ...]            # paths of the article elements around it, outermost first
     around: tuple[str, ...]              # paths of all elements around it
 
@@ -79,7 +84,8 @@ class Page:
 def parse(html: str) -> Page:
     """Structural tokens and text blocks of a page."""
     page = Page()
-    stack: list[tuple[str, str, bool, bool]] = []         # name, path, furniture, article
+    stack: list[tuple[str, str, bool, bool, bool | None]] = []    # name, path, furniture, article, mark
+    serial: list[int] = []                                # of the elements on the stack
     parts: list[str] = []
     lowered = html.lower()
 
@@ -87,18 +93,26 @@ def parse(html: str) -> Page:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            top = stack[-1] if stack else ("", "", False, False)
             # inline elements do not name a block
-            path = next((p for n, p, _, _ in reversed(stack) if n in BLOCK), "")
-            page.blocks.append(Block(text, path, top[2], tuple(p for _, p, _, a in stack if a), tuple(p for _, p, _, _ in stack)))
+            path = next((f[1] for f in reversed(stack) if f[0] in BLOCK), "")
+            roots, strong = [], 0
+            for depth, (number, (name, _, _, article, mark)) in enumerate(zip(serial, stack)):
+                strong += mark is True
+                if article and (mark is None or name in ARTICLE):
+                    roots.append((number, strong, depth))
+                    if name != "main":
+                        break
+            page.blocks.append(Block(text, path, bool(stack) and stack[-1][2], tuple((f[1], f[4]) for f in stack if f[4] is not None),
+                                     tuple(roots), tuple(f[1] for f in stack if f[3]), tuple(f[1] for f in stack)))
 
     def pop(count: int) -> None:
         for _ in range(count):
-            name, path, _, _ = stack[-1]
+            name, path = stack[-1][:2]
             if name in BLOCK:
                 flush()
             page.tags.append("/" + path)
             stack.pop()
+            serial.pop()
 
     at = 0
     while True:
@@ -129,11 +143,18 @@ def parse(html: str) -> Page:
                 break
             if frame[0] in BARRIER or (frame[0] in BLOCK and name not in CLOSES):
                 break
-        names = [w for x in _ATTR.findall(m["attrs"] or m["attrs2"] or "") for w in re.split(r"[^a-z0-9]+", "".join(x).lower()) if w]
-        outer = stack[-1] if stack else ("", "", False, False)
-        inside_article = any(a for *_, a in stack)
-        furniture = outer[2] or name in FURNITURE or bool(FURNITURE_NAMES & set(names)) or (
-            not inside_article and (name == "header" or "header" in names))
+        given = [[w for w in re.split(r"[^a-z0-9]+", n) if w] for x in _ATTR.findall(m["attrs"] or m["attrs2"] or "") for n in "".join(x).lower().split()]
+        names = [w for ws in given for w in ws]
+        outer = stack[-1] if stack else ("", "", False, False, None)
+        inside_article = any(f[3] for f in stack)
+        furniture = outer[2] or name in FURNITURE or (not inside_article and name == "header")
+        mark = None
+        if name not in ROOTS:
+            known = FURNITURE_NAMES if inside_article else FURNITURE_NAMES | {"header"}
+            if any(ws and known.issuperset(ws) for ws in given):
+                mark = True
+            elif known & set(names) and (name != "article" or any(f[3] and f[0] != "main" for f in stack)):
+                mark = False
         path = f"{outer[1]}/{name}" + (f".{'.'.join(sorted(set(names)))}" if names else "")
         page.tags.append(path)
         if name in VOID or (m["attrs"] or "").endswith("/"):
@@ -147,7 +168,8 @@ def parse(html: str) -> Page:
                 close = html.find(">", stop)
                 at = close + 1 if close >= 0 else len(html)
             continue
-        stack.append((name, path, furniture, name in ARTICLE or "article" in names))
+        stack.append((name, path, furniture, name in ARTICLE or "article" in names, mark))
+        serial.append(len(page.tags))
     pop(len(stack))
     flush()
     return page
@@ -160,6 +182,60 @@ class Template:
     nested: dict[tuple[str, str], list[list[str]]]       # ... -> the classes that repeat there
     element: str | None                   # path of the element that holds the article
     constant: set[tuple[str, str]]        # (path, text) of blocks that the template repeats
+    spared: set[str]                      # paths whose names of furniture say nothing, on pages without an article element
+
+
+def _spared(blocks: list[Block]) -> set[str]:
+    """Paths of the elements with names of furniture that hold the main text, so that their names say nothing.
+
+    Elements on and around the largest article, among the articles with the fewest
+    names that are furniture as a whole; without an article, the elements around
+    half of the text or more.
+    """
+    blocks = [b for b in blocks if not b.furniture]
+    size: dict[tuple[int, int, int], int] = defaultdict(int)
+    around: dict[tuple[int, int, int], tuple[str, ...]] = {}
+    rest: list[tuple[Block, int]] = []
+    for b in blocks:
+        r = b.roots[-1] if b.roots else None
+        if r and b.around[r[2]].rpartition("/")[2].split(".")[0] != "main":
+            size[r] += len(b.text)
+            around[r] = b.around[:r[2] + 1]
+        else:
+            rest.append((b, len(b.text)))
+    if size:
+        least = min(strong for _, strong, _ in size)
+        chosen = max((r for r in size if r[1] == least), key=lambda r: (size[r], -r[0]))
+        # articles that are furniture by name, beside more text without such names: a page whose comments are articles
+        if not least or size[chosen] >= sum(n for b, n in rest if not b.marks):
+            return {around[r][-1] for r in size if r[1] == least} | set(around[chosen])
+    return _around_half(rest)
+
+
+def _around_half(sizes: list[tuple[Block, int]]) -> set[str]:
+    """Paths of the marked elements that hold half of the text or more; whole marks are looked at only where all text has one."""
+    spared: set[str] = set()
+    while sizes:
+        plain = [(b, n) for b, n in sizes if not any(strong and p not in spared for p, strong in b.marks)]
+        inside: dict[str, int] = defaultdict(int)
+        for b, n in plain or sizes:
+            for p in {p for p, strong in b.marks if p not in spared and strong == (not plain)}:
+                inside[p] += n
+        if plain:
+            total = sum(n for _, n in plain)
+            return spared | {p for p, n in inside.items() if 2 * n >= total}
+        # all text is within whole marks: the outermost of those that hold the most is looked into
+        spared.add(max(inside, key=lambda p: (inside[p], -p.count("/"))))
+    return spared
+
+
+def _articles(page: Page) -> bool:
+    return any(b.roots and not b.furniture for b in page.blocks)
+
+
+def _kept(blocks: list[Block], spared: set[str]) -> list[Block]:
+    """The blocks that are not furniture."""
+    return [b for b in blocks if not b.furniture and all(p in spared for p, _ in b.marks)]
 
 
 def deduce(pages: list[Page]) -> Template | None:
@@ -197,13 +273,15 @@ def deduce(pages: list[Page]) -> Template | None:
     slots: dict[tuple[str, str], int] = defaultdict(int)
     times: dict[tuple[str, str], int] = defaultdict(int)
     for p in pages:
-        for b in p.blocks:
-            times[b.path, b.text] += 1
+        for key in {(b.path, b.text) for b in p.blocks}:
+            times[key] += 1
     constant = {k for k, c in times.items() if n >= SUPPORT and c >= n}
     opened = [t for t in skeleton if not t.startswith("//")]
+    own = [p for p in pages if not _articles(p)]
+    spared = _around_half([(b, len(b.text)) for p in own for b in p.blocks if not b.furniture and (b.path, b.text) not in constant])
     for p in pages:
-        for b in p.blocks:
-            if (b.path, b.text) not in constant and not b.furniture:
+        for b in _kept(p.blocks, _spared(p.blocks) if _articles(p) else spared):
+            if (b.path, b.text) not in constant:
                 inner = [t for t in b.around if t in place]
                 if inner:
                     slots[inner[-1], "/" + inner[-1]] += len(b.text)
@@ -222,7 +300,7 @@ def deduce(pages: list[Page]) -> Template | None:
         inside = {t: sum(v for (a, _), v in slots.items() if a == t or a.startswith(t + "/")) for t in opened}
         fit = [t for t in opened if total and inside[t] >= 0.7 * total]
         element = max(fit, key=lambda t: t.count("/")) if fit else None
-    return Template(skeleton, dict(slots), dict(nested), element, constant)
+    return Template(skeleton, dict(slots), dict(nested), element, constant, spared)
 
 
 def _home(token: str, place: dict[str, int]) -> str:
@@ -237,7 +315,8 @@ def _home(token: str, place: dict[str, int]) -> str:
 
 def extract(page: Page, template: Template | None) -> str:
     """Blocks of the article slots in page order, joined by an empty line."""
-    blocks = [b for b in page.blocks if not b.furniture]
+    deduced = template is not None and template.element is not None and not _articles(page)
+    blocks = _kept(page.blocks, template.spared if deduced else _spared(page.blocks))
     chosen = [b for b in blocks if template and template.element in b.around]
     if not chosen or (not any(b.articles for b in chosen) and any(b.articles for b in blocks)):
         chosen = [b for b in blocks if b.articles] or [

@@ -225,6 +225,30 @@ def test_page_text(spark):
     assert templates.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("before, after", [
+    ('<body class="has-sidebar">', "</body>"), ('<body class="search search-results">', "</body>"), ('<main class="search-results">', "</main>"),
+    ('<main id="form">', "</main>"), ('<div class="post-form">', "</div>"), ('<div class="widget"><div id="with-header">', "</div></div>")])
+@pytest.mark.parametrize("article", ["<article>", '<article class="post comments-open">', '<article class="widget">', '<div class="story-share">'])
+def test_names_around_the_article_say_nothing(before, after, article):
+    tag = article[1:].split()[0].rstrip(">")
+    source = [before + '<p class="sidebar">Side</p>' + article + f"<h1>Title {k}</h1>" + f"<p>Text {k}." * 20 + f'<div id="comments"><{tag} class="comment">'
+              + "Reader. " * 90 + f'</{tag}></div><p class="share">Share</p></{tag}>' + after for k in range(9)]
+    pages = [templates.parse(x) for x in source]
+    for template in (None, templates.deduce(pages)):
+        for k, p in enumerate(pages):
+            assert templates.extract(p, template) == "\n\n".join([f"Title {k}"] + [f"Text {k}."] * 20)
+
+
+def test_names_beside_the_article_count():
+    page = templates.parse("<article>Post</article><div class='related-posts'><article>" + "Other " * 9 + "</article></div>"
+                           "<div class='comments'><article class='comment'>" + "Reader " * 99 + "</article></div>")
+    assert templates.extract(page, None) in ("Post", "Post\n\n" + " ".join(["Other"] * 9))
+    page = templates.parse("<main><article>Post</article><article class='comment'>Reader reader</article></main>")
+    assert templates.extract(page, None) == "Post"
+    page = templates.parse("<p>Post without an article</p><div class='comments'><article class='comment'>Reader</article></div>")
+    assert templates.extract(page, None) == "Post without an article"
+
+
 def test_template_classes():
     pages = [templates.parse(PAGE.format(k=k, tag="article").replace("<li><a>More", "<li><a>More" * (k + 1))) for k in range(6)]
     t = templates.deduce(pages)
