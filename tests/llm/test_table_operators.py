@@ -166,6 +166,29 @@ def test_sweeps_reach_the_exact_posterior():
     assert abs(shared - (1 - d) / (1 - d + a)) < 0.03
 
 
+@pytest.mark.parametrize("c", [5, 300, 1500])
+@pytest.mark.parametrize("a", [0.05, 0.9, 40.0, 900.0])
+def test_sweeps_reach_the_exact_posterior_of_large_dishes(c, a):
+    """t tables have weight S(c, t) * a ** t, S by its recursion over customers."""
+    rng = np.random.default_rng(4)
+    n, d = 1000, 0.8
+    log_s = np.array([0.0])
+    for k in range(1, c):
+        t = np.arange(1, k + 2)
+        log_s = np.logaddexp(np.append(-np.inf, log_s), np.append(np.log(k - d * t[:-1]) + log_s, -np.inf))
+    t = np.arange(1, c + 1)
+    p = np.exp(log_s + t * math.log(a) - (log_s + t * math.log(a)).max())
+    p /= p.sum()
+    mean = (p * t).sum()
+    sd = math.sqrt((p * (t - mean) ** 2).sum())
+    dish, size = hpy.seat(np.full(n, c), np.full(n, a), d, rng)
+    for _ in range(3):
+        dish, size = hpy.sweep(dish, size, np.full(n, a), d, rng)
+    got = np.bincount(dish, minlength=n)
+    assert abs(got.mean() - mean) < 5 * sd / math.sqrt(n) + 1e-9
+    assert 0.8 * sd < got.std() + 0.02 and got.std() < 1.2 * sd + 0.02
+
+
 def test_model_is_normalised(spark, documents):
     """For any restaurant the weights of all words and the unknown class add up to 1."""
     s = hpy.Settings(contexts=64)
