@@ -189,6 +189,18 @@ def test_sweeps_reach_the_exact_posterior_of_large_dishes(c, a):
     assert 0.8 * sd < got.std() + 0.02 and got.std() < 1.2 * sd + 0.02
 
 
+def test_plan_counts_all_words_and_dishes(spark, documents, empty):
+    """Exact at every size, however small the vocabulary or the units."""
+    for df in (documents, documents.limit(20), empty):
+        for s in (hpy.Settings(), hpy.Settings(unit_bytes=60_000, bucket_bytes=40_000)):
+            rows = [[*split_words((r.text or "").translate(LOWER)), None] for r in df.collect() if zlib.crc32(str(r.doc_id).encode()) % 10]
+            pairs = {(a, b) for ws in rows for a, b in zip([""] + ws, ws)}
+            size = sum(len(w or "") for ws in rows for w in ws)
+            plan = hpy._plan(hpy._units(df, s), size, s)
+            assert plan.words == max(1, len({w for ws in rows for w in ws}))
+            assert 0.98 * len(pairs) <= plan.tables <= max(1, len(pairs))        # contexts may share a restaurant
+
+
 def test_model_is_normalised(spark, documents):
     """For any restaurant the weights of all words and the unknown class add up to 1."""
     s = hpy.Settings(contexts=64)
