@@ -20,8 +20,12 @@ nothing: within k edits, n words keep n - q + 1 - k * q of their q-word groups.
 Items are read in blocks of bounded size, each block against all documents; there
 is no shuffle.
 
-Defined cases: items of fewer than ``min_words`` words are not searched (they are
-ordinary phrases); NULL and empty texts are clean; items with equal texts are
+Items of fewer than ``min_words`` words allow one edit at most: those without are
+looked up as a whole, the others by their halves, one of which is untouched by the
+edit, and verified like the rest.  This finds every match.
+
+Defined cases: items of fewer than ``shortest`` words, and items without a word, are
+not searched; NULL and empty texts are clean; items with equal texts are
 reported each; a repeated row is reported once per row; rows without doc_id are
 reported with NULL.  An empty benchmark leaves every document clean.
 """
@@ -45,7 +49,8 @@ _PAD = np.uint64(0x5851F42D4C957F2D)
 @dataclass(frozen=True)
 class Settings:
     max_edits: float = 0.2        # of an item's words
-    min_words: int = 8
+    min_words: int = 8            # items of fewer words are looked up by exact word groups
+    shortest: int = 8             # least words of an item; 1: all that have a word
     walks: int = 8
     draws: int = 6                # samplings per walk
     samples: int = 4              # steps in one sampling
@@ -73,10 +78,21 @@ class _Class:
     keys: list[list[tuple[np.ndarray, np.ndarray]]]     # per walk and draw: sorted keys, their segments
 
 
+@dataclass
+class _Short:
+    """Word groups of one length of the items below ``min_words``."""
+    length: int
+    whole: bool                  # a group is the item, which allows no edit
+    keys: np.ndarray             # sorted
+    item: np.ndarray
+    offset: np.ndarray
+
+
 @dataclass
 class Index:
     items: list[_Item]
     classes: list[_Class]
+    short: list[_Short]
     settings: Settings
 
 
@@ -127,13 +143,19 @@ def build_index(rows: list[tuple[int | None, str | None]], s: Settings) -> Index
     items = []
     for item_id, text in rows:
         h = _hashes(text)
-        if len(h) >= s.min_words:
+        if len(h) >= max(1, s.shortest):
             items.append(_Item(item_id, h, int(s.max_edits * len(h))))
     if not items:
         return None
     segs: dict[int, list[tuple[int, int, int]]] = {}
+    groups: dict[tuple[int, bool], list[tuple[np.uint64, int, int]]] = {}
     for i, it in enumerate(items):
         n = len(it.h)
+        if n < s.min_words and it.k <= 1:
+            cuts = [n * p // (it.k + 1) for p in range(it.k + 2)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                groups.setdefault((b - a, it.k == 0), []).append((_group(it.h[a:b], b - a)[0], i, a))
+            continue
         parts = max(1, round(n / s.segment))
         cuts = [n * p // parts for p in range(parts + 1)]
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -160,7 +182,25 @@ def build_index(rows: list[tuple[int | None, str | None]], s: Settings) -> Index
         classes.append(_Class(length, max(n + e for n, e in zip(sizes, k)),
                               min(n - s.group + 1 - e * s.group for n, e in zip(sizes, k)), grams,
                               np.array([i for i, _, _ in members]), np.array([a for _, a, _ in members]), keys))
-    return Index(items, classes, s)
+    short = []
+    for (length, whole), members in sorted(groups.items()):
+        key, item, offset = (np.array(x) for x in zip(*members))
+        order = np.argsort(key, kind="stable")
+        short.append(_Short(length, whole, key[order], item[order], offset[order]))
+    return Index(items, classes, short, s)
+
+
+def _short_matches(h: np.ndarray, doc: np.ndarray, c: _Short) -> tuple[np.ndarray, np.ndarray]:
+    """(words where a group of an item is, which group); a whole item is given once per document."""
+    g = _group(h, c.length)
+    left = np.searchsorted(c.keys, g, "left")
+    at = np.flatnonzero((left < len(c.keys)) & (c.keys[np.minimum(left, len(c.keys) - 1)] == g))
+    at = at[doc[at] == doc[at + c.length - 1]]
+    if c.whole:
+        at = at[np.unique(doc[at] * len(c.keys) + left[at], return_index=True)[1]]
+    n = np.searchsorted(c.keys, g[at], "right") - left[at]
+    edge = np.concatenate([[0], np.cumsum(n)])
+    return np.repeat(at, n), np.arange(int(edge[-1])) + np.repeat(left[at] - edge[:-1], n)
 
 
 def _active(h: np.ndarray, doc: np.ndarray, g: np.ndarray, c: _Class, q: int) -> np.ndarray:
@@ -203,9 +243,12 @@ def _matches(data: np.ndarray, offsets: np.ndarray, ix: Index) -> tuple[np.ndarr
     none = (np.zeros(0, np.int64),) * 4
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     g = _group(h, s.group)
-    if not len(g):
+    if not len(h):
         return none
     found = [np.zeros((0, 3), np.int64)]
+    for c in ix.short:
+        at, k = _short_matches(h, doc, c)
+        found.append(np.stack([c.item[k], at - c.offset[k], doc[at]], axis=1))
     for c in ix.classes:
         active = _active(h, doc, g, c, s.group)
         if not len(active):

@@ -61,7 +61,7 @@ def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cgk.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return cgk.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), cgk.Settings(shortest=1))
 
 
 def op10_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return cgk.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return cgk.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), cgk.Settings(shortest=1))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

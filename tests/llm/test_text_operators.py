@@ -283,6 +283,37 @@ def test_decontamination_matches_brute_force(spark, documents):
     assert {r.doc_id for r in clean.collect()} == {d for d, _ in rows} - {d for d, _ in got}
 
 
+def test_short_items_match_brute_force(spark):
+    """Items of one to seven words: all matches, with one edit from five words on."""
+    rng = random.Random(8)
+    say = lambda n: [f"w{rng.randrange(9)}" for _ in range(n)]                             # noqa: E731
+    items = [(k, " ".join(say(1 + k % 9))) for k in range(45)] + [(90, None), (91, " "), (None, "W1 w2"), (92, "w1 w2")]
+    rows = [(k, " ".join(say(rng.randrange(0, 40)))) for k in range(80)] + [(200, None), (201, "w1"), (202, "w1 w2")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = set()
+    for d, t in rows:
+        for i, x in items:
+            w, item = split_words((t or "").lower()), split_words((x or "").lower())
+            if 0 < len(item) < 8 and (e := brute_edits(w, item)) <= int(0.2 * len(item)):
+                want.add((d, i, e))
+    long_items = {i for i, x in items if len(split_words(x)) >= 8}
+    got = [tuple(r)[:3] for r in cgk.contaminated(docs, bench, cgk.Settings(shortest=1)).collect() if r.item_id not in long_items]
+    assert len(got) == len(set(got)) and set(got) == want and {e for *_, e in want} == {0, 1}
+    only = spark.createDataFrame([(1, "w1 w2")], "item_id long, text string")
+    kept = {r.doc_id for r in cgk.drop_contaminated(docs, only, cgk.Settings(shortest=1)).collect()}
+    assert kept == {d for d, _ in rows} - {d for d, i, _ in want if i == 92}
+
+
+def test_registered_queries_search_short_items(spark, tmp_path):
+    import corpus_pipeline
+    from capstan.llm.queries import QUERIES
+    docs = spark.createDataFrame([(1, "before this is a short benchmark item after"), (2, "something else")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "this is a short benchmark item")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [(r.doc_id, r.item_id) for r in QUERIES["op9_cgk_decontamination"](spark, str(tmp_path)).collect()] == [(1, 7)]
+    assert [r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_decontamination_on_odd_tables(spark, odd, empty):
     item = next(t for _, t in odd_texts() if t and len(split_words(t)) == 40)
     bench = spark.createDataFrame([(1, item), (2, item), (3, None), (4, ""), (5, "two words"), (None, item)], "item_id long, text string")
