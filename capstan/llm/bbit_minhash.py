@@ -74,10 +74,11 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
     count = np.diff(first)
     short = np.flatnonzero((count > 0) & (count < n))
     doc = np.repeat(np.arange(len(count)), np.diff(gfirst))
-    if len(short):
-        whole = np.array([mix(np.frombuffer(h[first[i]:first[i + 1]].tobytes(), np.uint64).cumsum()[-1:]
-                              * np.uint64(2 * (first[i + 1] - first[i]) + 1) + h[first[i]])[0] for i in short], np.uint64)
-        gram, doc = np.concatenate([gram, whole]), np.concatenate([doc, short])
+    for c in np.unique(count[short]).tolist():             # one shingle of all their words, in order
+        own = short[count[short] == c]
+        at = first[own][:, None] + np.arange(c)
+        whole, _, _ = ngram_hashes(h[at.ravel()], np.arange(len(own) + 1) * c, c)
+        gram, doc = np.concatenate([gram, whole]), np.concatenate([doc, own])
     order = np.lexsort((gram, doc))
     gram, doc = gram[order], doc[order]
     new = np.ones(len(gram), bool)

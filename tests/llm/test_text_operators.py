@@ -221,6 +221,14 @@ def test_near_duplicate_filter(spark, odd, empty):
     assert bbit_minhash.near_duplicates(empty).count() == 0 and bbit_minhash.near_duplicate_filter(empty).count() == 0
 
 
+def test_short_texts_keep_their_word_order(spark):
+    texts = ["a b c", "a c b", "A b c", "b a c", "a b", "b a", "a", "a b c d", "a d c b", "a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in bbit_minhash.near_duplicates(df).collect()}
+    assert got == {**{i: i for i in range(10)}, 2: 0, 9: 6}
+    assert {r.doc_id for r in bbit_minhash.near_duplicate_filter(df).collect()} == {0, 1, 3, 4, 5, 6, 7, 8}
+
+
 def test_components_of_paths_and_rings(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100), (7, 7)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
