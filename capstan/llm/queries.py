@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from capstan.llm import arc_convert, bbit_minhash, byte_cnn, cgk, hpy, piece_bpe, quality_llr, sharding, superkmer, templates
+from capstan.llm import adaptive_scan, arc_convert, bbit_minhash, byte_cnn, cgk, hpy, piece_bpe, quality_llr, sharding, superkmer, templates
 from capstan.llm.common import table
 from capstan.session import scratch_path
 
@@ -68,6 +68,10 @@ def op10_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"), bbit_minhash.Settings(shingle=2))
 
 
+def op11_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adaptive_scan.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superkmer": op2_superkmer,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op8_arc_to_warc": op8_arc_to_warc,
     "op9_cgk_decontamination": op9_cgk_decontamination,
     "op10_bbit_minhash": op10_bbit_minhash,
+    "op11_adaptive_scan": op11_adaptive_scan,
 }
 
 # windows are taken as text and the smallest document of each window by plain grouping
