@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from capstan.llm import adaptive_scan, arc_convert, bbit_minhash, byte_cnn, cgk, hpy, piece_bpe, quality_llr, sharding, superkmer, templates
+from capstan.llm import adaptive_scan, arc_convert, bbit_minhash, byte_cnn, cgk, hpy, piece_bpe, quality_llr, sharding, stratified_search, superkmer, templates
 from capstan.llm.common import table
 from capstan.session import scratch_path
 
@@ -72,6 +72,10 @@ def op11_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_scan.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stratified_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superkmer": op2_superkmer,
@@ -84,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op9_cgk_decontamination": op9_cgk_decontamination,
     "op10_bbit_minhash": op10_bbit_minhash,
     "op11_adaptive_scan": op11_adaptive_scan,
+    "op12_stratified_search": op12_stratified_search,
 }
 
 # windows are taken as text and the smallest document of each window by plain grouping
@@ -158,4 +163,32 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, d.doc_id) AS
 FROM documents d LEFT JOIN size ON size.doc_id = d.doc_id LEFT JOIN least ON least.doc_id = d.doc_id
 """
 
-ORACLE: dict[str, str] = {"op2_superkmer": OP2_SQL, "op8_arc_to_warc": OP8_SQL, "op10_bbit_minhash": OP10_SQL}
+# every document scored for every item over plain term counts
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), []) AS t FROM documents
+), q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(min(text), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id
+), total AS (
+  SELECT count(*) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM d WHERE len(t) > 0
+), tf AS (
+  SELECT r, doc_id, size, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS size, unnest(t) AS term FROM d) GROUP BY ALL
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, n
+), score AS (
+  SELECT item_id, r, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * size * n) // l)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN weight USING (term), total GROUP BY item_id, r, doc_id
+), place AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM score WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM place WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {"op2_superkmer": OP2_SQL, "op8_arc_to_warc": OP8_SQL, "op10_bbit_minhash": OP10_SQL,
+                          "op12_stratified_search": OP12_SQL}
