@@ -50,7 +50,7 @@ class Settings:
     alpha: float = 0.0005        # chance that one test abandons a true neighbour
     spare: int = 12              # sample rows above the first threshold beyond those asked for
     columns: int = 16            # width of a column block
-    block: int = 8_192           # classes in a unit, and queries in a query block
+    block: int = 8_192           # classes in a unit at most (a 64th of a small table), and queries in a query block
     max_lists: int = 1_024
     seed: int = 11
 
@@ -274,7 +274,7 @@ def nearest(rows: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B0
 
     listed = stored(c.mapInArrow(assign, "ids array<bigint>, embedding array<double>, list int"), "ann-lists")
     counts = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}      # max_lists rows at most
-    first, parts, units = _units(index, counts, s.block)
+    first, parts, units = _units(index, counts, min(s.block, max(1024, size.n // 64)))
     ask = (v.where(F.col("vec_id") % s.every == 0).groupBy("embedding").agg(F.min("vec_id").alias("qid")))
     ask = stored(ask, "ann-queries")
     blocks = max(1, -(-ask.count() // s.block))
