@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from capstan.llm import adaptive_scan, arc_convert, bbit_minhash, byte_cnn, cgk, hpy, piece_bpe, quality_llr, sharding, stratified_search, superkmer, templates
+from capstan.llm import adaptive_scan, arc_convert, bbit_minhash, byte_cnn, cgk, hpy, piece_bpe, prefix_trie, quality_llr, sharding, stratified_search, superkmer, templates
 from capstan.llm.common import table
 from capstan.session import scratch_path
 
@@ -76,6 +76,10 @@ def op12_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superkmer": op2_superkmer,
@@ -89,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op10_bbit_minhash": op10_bbit_minhash,
     "op11_adaptive_scan": op11_adaptive_scan,
     "op12_stratified_search": op12_stratified_search,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 # windows are taken as text and the smallest document of each window by plain grouping
@@ -190,5 +195,49 @@ WITH d AS (
 SELECT item_id, rank, doc_id, score FROM place WHERE rank <= 20
 """
 
+# CRC-32 bit by bit; prefixes as running digests; subtrees as pairs of prefixes of one conversation
+OP13_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT conv_id, sha256(len(role) || ':' || role || text) AS k, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(len(role) || ':' || role || text)) - 1 AS p FROM t
+), n AS (
+  SELECT conv_id, count(*) AS turns FROM o GROUP BY conv_id
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+    xor(list_reduce([4294967295] || flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda s: [CAST(ascii(s) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 4 AS h
+  FROM n
+), b AS (
+  SELECT c.conv_id, base, h, least(h, coalesce(turns, 0)) AS taken FROM c LEFT JOIN n ON n.conv_id = base
+), rebuilt AS (
+  SELECT b.conv_id, p AS i, k, w FROM b JOIN o ON o.conv_id = base AND p < h
+  UNION ALL SELECT b.conv_id, p - h + taken, k, w FROM b JOIN o ON o.conv_id = b.conv_id AND p >= h
+), member AS (
+  SELECT conv_id, 0 AS d, 'root' AS k, 0 AS w FROM n
+  UNION ALL SELECT conv_id, i + 1, sha256(string_agg(k, ',') OVER (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING)), w FROM rebuilt
+), node AS (
+  SELECT k, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n, any_value(w) AS w FROM member GROUP BY k
+), edge AS (
+  SELECT DISTINCT x.k, y.k AS up FROM member x JOIN member y ON x.conv_id = y.conv_id AND x.d = y.d + 1
+), kids AS (
+  SELECT up AS k, count(*) AS kids FROM edge GROUP BY up
+), pair AS (
+  SELECT DISTINCT x.k, y.k AS sub FROM member x JOIN member y ON x.conv_id = y.conv_id AND y.d >= x.d
+), below AS (
+  SELECT pair.k, count(*) FILTER (WHERE kids IS NULL) AS leaves, sum((n - 1) * w) AS saved
+  FROM pair JOIN node ON node.k = sub LEFT JOIN kids ON kids.k = sub GROUP BY pair.k
+), ending AS (
+  SELECT k, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS s
+  FROM (SELECT conv_id, arg_max(k, d) AS k FROM member GROUP BY conv_id) GROUP BY k
+)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(kids, 0) AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, coalesce(s, sha256('')) AS ends_sha256
+FROM node JOIN below ON below.k = node.k LEFT JOIN kids ON kids.k = node.k LEFT JOIN ending ON ending.k = node.k
+LEFT JOIN edge ON edge.k = node.k LEFT JOIN node parent ON parent.k = edge.up
+"""
+
 ORACLE: dict[str, str] = {"op2_superkmer": OP2_SQL, "op8_arc_to_warc": OP8_SQL, "op10_bbit_minhash": OP10_SQL,
-                          "op12_stratified_search": OP12_SQL}
+                          "op12_stratified_search": OP12_SQL, "op13_prefix_trie": OP13_SQL}
