@@ -35,18 +35,16 @@ def _a(inputs: str, sql: str) -> Adapter:
 
 
 ADAPTERS: dict[str, Adapter] = {
-    # lineitem made unique on (l_orderkey, l_linenumber); every column takes
-    # part in the order so the surviving row is the same in both engines.
+    # lineitem with a unique line_id: lines that share (l_orderkey, l_linenumber) are told apart by
+    # their rank; every column takes part in the order, so ranks are the same in both engines.
     "line1": _a("lineitem", """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
        l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate,
-       l_orderkey * 10 + l_linenumber AS line_id
-FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                                   ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity,
-                                            l_extendedprice, l_discount, l_tax,
-                                            l_returnflag, l_linestatus) AS rn
-      FROM {lineitem}) t
-WHERE rn = 1"""),
+       (row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                                    l_returnflag, l_linestatus) - 1) * 1000000000000
+       + l_orderkey * 10 + l_linenumber AS line_id
+FROM {lineitem}"""),
 
     # ---------------------------------------------------------------- portal
     "portal_part": _a("part supplier customer", """
@@ -248,7 +246,7 @@ FROM {customer}"""),
     # ------------------------------------------- inputs of the file-driven merges
     # The portal/ERP query files those scripts load are not available; these
     # stand-ins have the shape the merges need (shared key and non-key names,
-    # NULL keys on both sides; as many NULL part numbers on the right at every size).
+    # NULL keys on both sides, which grow with the parts).
     "portal_dashboard": _a("portal_part", """
 SELECT CASE WHEN PartID % 50 = 49 THEN NULL ELSE PartNumber END AS PartNumber,
        CASE WHEN PartID % 9 = 4 THEN NULL
@@ -257,7 +255,7 @@ SELECT CASE WHEN PartID % 50 = 49 THEN NULL ELSE PartNumber END AS PartNumber,
        CASE PartID % 3 WHEN 0 THEN 'Tag A' WHEN 1 THEN 'Tag B' END AS TagName
 FROM {portal_part}"""),
     "erp_dashboard": _a("erp_part", """
-SELECT CASE WHEN PartID IN (70, 139, 160) THEN NULL ELSE PartNumber END AS PartNumber,
+SELECT CASE WHEN PartID % 47 = 7 THEN NULL ELSE PartNumber END AS PartNumber,
        CASE WHEN PartID % 9 = 4 THEN NULL
             ELSE concat('V', lpad(cast(PartID % 997 AS string), 4, '0')) END AS SupplierCode,
        PartSystem AS value,
@@ -274,6 +272,11 @@ SELECT '1998-06-15' AS Load_Date, PartNumber,
        CASE PartID % 3 WHEN 0 THEN 'Released' WHEN 1 THEN 'In Work' END AS ECOStatus,
        PartSystem
 FROM {erp_part} WHERE PartID % 2 = 0"""),
+    # two columns that the loads before did not have, one of theirs gone
+    "snapshot_wider": _a("erp_part", """
+SELECT '1998-06-22' AS Load_Date, PartNumber, PartSystem,
+       CASE WHEN PartID % 5 = 1 THEN 'Complete' ELSE 'Open' END AS TQPStatus, BuyerCode AS Owner, StockUnitID AS Unit
+FROM {erp_part}"""),
 }
 
 

@@ -64,4 +64,5 @@ SCHEMAS: dict[str, str] = {
         "Load_Date STRING, PartNumber STRING, ECOStatus STRING, PartSystem STRING, "
         "TQPStatus STRING"),
     "snapshot_increment": "Load_Date STRING, PartNumber STRING, ECOStatus STRING, PartSystem STRING",
+    "snapshot_wider": "Load_Date STRING, PartNumber STRING, PartSystem STRING, TQPStatus STRING, Owner STRING, Unit INT",
 }
