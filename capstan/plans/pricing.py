@@ -21,6 +21,8 @@ ranking can pick — and then joining lines to that one row.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,7 @@ from capstan.operators.latest import latest_per_key
 from capstan.operators.units import with_unit_divisor
 from capstan.session import stored_table
 from capstan.sources import Sources
+from capstan.sources.layout import EXPLOSION_DAY
 
 PRICE_COLUMNS = ["PurchaseOrderTypeID", "PurchaseOrderLineID", "PartNumber", "UnitPrice", "CurrencyCode",
                  "CurrencyName", "ExchangeRate", "POLCreateDate", "POCreateDate", "PurchaseUnitID", "StockUnitID",
@@ -49,10 +52,19 @@ QPV_COLUMNS = ["PartNumber", "QPVPartDescription", "PartID", "PartSystem", "Supp
 
 
 # ------------------------------------------------------------------ BOM side
+def _explosions_since(src: Sources, since: dt.datetime, strictly: bool) -> DataFrame:
+    """BOM explosions from ``since`` on.  A table stored by day (``layout.store_by_day``) is read from that day's folder on."""
+    e = src["erp_bom_explosion"]
+    if EXPLOSION_DAY in e.columns:
+        e = e.where(F.col(EXPLOSION_DAY) >= F.lit(since.date()))
+    date = F.col("BOMExplosionDate")
+    return e.where(date > ts_lit(since) if strictly else date >= ts_lit(since))
+
+
 def recent_bom_parts(src: Sources, cfg: Config) -> DataFrame:
     """Part numbers exploded within the last ``recent_days`` (elapsed time) with part data."""
     as_of = cfg.as_of_ts()
-    be = src["erp_bom_explosion"].where(F.col("BOMExplosionDate") > ts_lit(elapsed_cutoff(as_of, cfg.recent_days)))
+    be = _explosions_since(src, elapsed_cutoff(as_of, cfg.recent_days), strictly=True)
     pn = be.select("DetailPartNumber").distinct()
     p = src["erp_part"].select(F.col("PartNumber").alias("__pn"), F.col("Description").alias("PartDescription"),
                                "PartID", "PartSystem", "BuyerCode", "FabricatedFlag", "PurchasedFlag",
@@ -66,12 +78,17 @@ def recent_bom_parts(src: Sources, cfg: Config) -> DataFrame:
 
 
 def bom_usage_latest(src: Sources, cfg: Config) -> DataFrame:
-    """Summed running quantity per (sample, part, usage type) of the newest explosion."""
-    as_of = cfg.as_of_ts()
-    e = src["erp_bom_explosion"]
+    """Summed running quantity per (sample, part, usage type) of the newest explosion.
+
+    Only an explosion within the last ``recent_days`` (calendar days) counts, so the newest
+    one is looked for among those: the same rows, and the history before them is not read.
+    Over a table stored by day the newest day prunes the folders once it is known.
+    """
+    e = _explosions_since(src, calendar_cutoff(cfg.as_of_ts(), cfg.recent_days), strictly=False)
     newest = e.select(F.max("BOMExplosionDate")).scalar()
-    e = e.where((F.col("BOMExplosionDate") == newest)
-                & (F.col("BOMExplosionDate") >= ts_lit(calendar_cutoff(as_of, cfg.recent_days))))
+    if EXPLOSION_DAY in e.columns:
+        e = e.where(F.col(EXPLOSION_DAY) == e.select(F.max(EXPLOSION_DAY)).scalar())
+    e = e.where(F.col("BOMExplosionDate") == newest)
     samples = (src["erp_bom_sample"].where(F.col("CreateDate") >= ts_lit(cfg.sample_cutoff))
           .select("SalesBOMSampleID", "Name"))
     u = (e.join(samples, "SalesBOMSampleID", "inner")

@@ -12,12 +12,19 @@ those joins and windows without a shuffle:
 
 Tables joined with each other on the bucket key must have the same number
 of buckets.  Dimension tables are stored plainly.
+
+BOM explosions may be stored by day instead (``store_by_day``): the reports read
+the last few days of them, so whole folders are pruned whatever the history.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from capstan.sources.tables import Sources
 
+EXPLOSION_DAY = "BOMExplosionDay"
+
 BUCKET_KEYS: dict[str, tuple[str, ...]] = {
     "erp_po_line": ("PurchaseOrderID",),
     "erp_po": ("PurchaseOrderID",),
@@ -39,3 +46,13 @@ def store_tables(src: Sources, database: str, names, buckets: int) -> Sources:
             w = w.bucketBy(buckets, *keys).sortBy(*keys)
         w.saveAsTable(f"{database}.{n}")
     return Sources.catalog(spark, database)
+
+
+def store_by_day(src: Sources, path: str) -> Sources:
+    """``src`` with its BOM explosions stored at ``path`` in one folder per day (a rerun replaces the days that it has)."""
+    rows = src["erp_bom_explosion"].withColumn(EXPLOSION_DAY, F.to_date("BOMExplosionDate"))
+    # a day's rows in files of a common size, also a day that holds most of them
+    (rows.hint("rebalance", EXPLOSION_DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(EXPLOSION_DAY).parquet(path))
+    by_day = src.spark.read.parquet(path)
+    return Sources(src.spark, lambda n: by_day if n == "erp_bom_explosion" else src[n])
