@@ -30,6 +30,7 @@ from capstan import config as C
 from capstan.config import Config
 from capstan.functions.labels import capacity_status, effective_status, model_label, program_label, task_status
 from capstan.operators.joins import join_splittable, left_join_fanout
+from capstan.operators.keyfilter import key_filter
 from capstan.operators.latest import latest_per_key, ranked
 from capstan.operators.rollup import rollup_flags
 from capstan.operators.tags import tag_flags
@@ -79,8 +80,10 @@ def user_manager_lookup(src: Sources, cfg: Config) -> DataFrame:
                      manager_as="GSMManager", managers=users)
 
 
-def part_tag_flags(src: Sources, cfg: Config) -> DataFrame:
-    return tag_flags(src["portal_part_tag"], src["portal_tag"], cfg)
+def part_tag_flags(src: Sources, cfg: Config, parts: DataFrame | None = None) -> DataFrame:
+    """Tag flags per part; with ``parts`` only tags that can belong to one of them are shuffled."""
+    tags = src["portal_part_tag"]
+    return tag_flags(tags if parts is None else key_filter(tags, parts, "PartID"), src["portal_tag"], cfg)
 
 
 def model_labels(src: Sources, cfg: Config) -> DataFrame:
@@ -224,13 +227,16 @@ def info_rows(src: Sources, cfg: Config, version: int = 2, users: bool = True,
     tag = src["portal_ps_tag"].select("PartSupplierTagID", F.col("Tag").alias("ProgramTag"))
     x = (p.join(ps, ["PartNumber", "SupplierCode"], "left")
          .join(tag, "PartSupplierTagID", "left")
-         .join(part_tag_flags(src, cfg), "PartID", "left"))
+         .join(part_tag_flags(src, cfg, p if parts is not None else None), "PartID", "left"))
     flags = [F.coalesce(F.col(c), F.lit(False)) for c in ("is_model_s", "is_model_x", "is_model_3", "is_energy")]
     x = x.where(flags[0] | flags[1] | flags[2] | F.col("ProgramTag").isNotNull() | flags[3])
     # one row per part-supplier, small against the tasks: stored once, read by both branches of the fan-out join
     x = stored_table(x, "capacity-parts")
     # tasks per part-supplier: the fan-out join, safe against a hot part-supplier
-    x = left_join_fanout(x, capacity_tasks(src, cfg), ["PartSupplierID"])
+    chosen, tasks = x, capacity_tasks(src, cfg)
+    if parts is not None:
+        tasks = key_filter(tasks, x, "PartSupplierID")
+    x = left_join_fanout(x, tasks, ["PartSupplierID"])
     if users:
         # small dimension lookups, once on the joined rows (not in both branches above)
         all_users = src["portal_user"]
@@ -243,7 +249,8 @@ def info_rows(src: Sources, cfg: Config, version: int = 2, users: bool = True,
         x = x.join(r, F.col("PartSupplierID") == F.col("roll_PartSupplierID"), "left")
         rollup = "roll_"
     elif version == 3:
-        r = _prefixed(rollup_flags(src["portal_task"], cfg, task_id=cfg.capacity_task_id), "roll_")
+        rolled = src["portal_task"] if parts is None else key_filter(src["portal_task"], chosen, "PartSupplierID")
+        r = _prefixed(rollup_flags(rolled, cfg, task_id=cfg.capacity_task_id), "roll_")
         cond = (F.col("PartSupplierID") == F.col("roll_PartSupplierID")) & (F.col("TaskID") == cfg.capacity_task_id)
         x = x.join(r, cond, "left")
         rollup = "roll_"

@@ -188,3 +188,40 @@ def test_ranked_null_keys_and_empty_input(spark):
     assert got == [(1, 1), (2, 3), (3, 2), (4, 2), (5, 1)]
     empty = df.where("id < 0")
     assert ranked(empty, ["k"], [F.col("id").desc()]).count() == 0
+
+
+def test_key_filter_keeps_partners_and_shuffles_little(spark):
+    """Rows that pass follow the chosen keys, none with a partner is lost, and the filter comes before any exchange."""
+    from pyspark.sql import functions as F
+
+    from capstan.operators.keyfilter import key_filter
+    large = spark.range(60_000).select((F.col("id") % 20_000).alias("k"), F.col("id").alias("v")).union(
+        spark.createDataFrame([(None, 1)], "k bigint, v bigint"))
+    for n in (0, 3, 300, 20_000):
+        keys = spark.range(n).select((F.col("id") * (20_000 // max(n, 1))).cast("int").alias("k"))
+        got = key_filter(large, keys, "k")
+        want = large.join(keys.distinct(), "k", "left_semi")
+        assert got.join(keys.distinct(), "k", "left_semi").count() == want.count() == 3 * n
+        assert want.count() <= got.count() <= want.count() + 0.1 * large.count()
+        assert got.columns == ["k", "v"]
+
+
+def test_chosen_parts_reduce_the_large_side(spark):
+    """Tasks and tags are filtered by the chosen parts before they are shuffled."""
+    from capstan.config import FIXTURE_CONFIG as CFG
+    from capstan.plans import capacity as cap
+    from capstan.sources import Sources
+    src = Sources.stored_fixtures(spark, "/root/testdata/sf0.001")
+    parts = [r[0] for r in src["portal_part"].select("PartNumber").orderBy("PartNumber").limit(40).collect()]
+    names = spark.createDataFrame([(p,) for p in parts], "PartNumber string")
+    want = sorted(map(tuple, cap.task_status_for_parts(src, CFG, names).collect()))
+    assert sorted(map(tuple, cap.task_status_for_parts(src, CFG, parts).collect())) == want and want
+    seen = []
+    keep = cap.key_filter
+    cap.key_filter = lambda large, keys, key: seen.append((key, large.count(), keep(large, keys, key).count())) or keep(large, keys, key)
+    try:
+        cap.task_status_for_parts(src, CFG, parts).collect()
+    finally:
+        cap.key_filter = keep
+    assert {k for k, _, _ in seen} == {"PartID", "PartSupplierID"}
+    assert all(after < 0.5 * before for _, before, after in seen)
