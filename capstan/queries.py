@@ -10,6 +10,7 @@ of what it derives from, and every query reads whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from capstan.config import FIXTURE_CONFIG as CFG
-from capstan.operators import (append_snapshot, buyer_users, latest_enabled_tags, named_tag_members, read_report,
+from capstan.operators import (MergeCounts, append_snapshot, buyer_users, latest_enabled_tags, named_tag_members, read_report,
                                read_snapshot, rollup_flags, write_report)
 from capstan.plans import capacity as cap
 from capstan.plans import pricing as pr
@@ -25,6 +26,7 @@ from capstan.plans import reports as rep
 from capstan.session import scratch_path
 from capstan.sources import Sources
 from capstan.sources.files import sql_file_report
+from capstan.sources.layout import store_by_day
 from capstan.sources.tables import plain
 from capstan.streaming import accumulate_snapshots, land_increment, read_snapshots
 
@@ -138,6 +140,71 @@ def _sql_file_report(spark, sf_dir):
     return sql_file_report(s, "part_supplier_tasks.sql", ["portal_part_supplier", "portal_task"])
 
 
+def _report_replace(spark, sf_dir):
+    """A report replaced by another one that reads it."""
+    s = _src(spark, sf_dir)
+    path = scratch_path(spark, "report-replaced")
+    write_report(cap.task_status_list(s, CFG), path)
+    write_report(read_report(spark, path).groupBy("TaskStatus", "Program").agg(F.count("*").alias("part_count")), path)
+    return read_report(spark, path)
+
+
+def _snapshot_evolving(spark, sf_dir):
+    """Three loads with different columns: one has a column less, one has two new ones."""
+    s = _src(spark, sf_dir)
+    path = scratch_path(spark, "snapshot-evolving")
+    for load in ("snapshot_history", "snapshot_increment", "snapshot_wider"):
+        append_snapshot(s[load], path)
+    return read_snapshot(spark, path)
+
+
+def _dashboard_merge_classes(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    path = scratch_path(spark, "dashboard-groups")
+    rep.dashboard_groups(s["portal_dashboard"], s["erp_dashboard"]).write(path)
+    return read_report(spark, f"{path}/classes")
+
+
+def _three_key_merge_groups(spark, sf_dir):
+    """The merge written in linear space, read back and expanded."""
+    s = _src(spark, sf_dir)
+    path = scratch_path(spark, "three-key-groups")
+    groups = rep.three_key_groups(s["portal_dashboard"], s["erp_dashboard"])
+    groups.write(path)
+    return groups.read(spark, path, groups.on).expand()
+
+
+def _bom_usage_by_day(spark, sf_dir):
+    by_day = store_by_day(_src(spark, sf_dir), scratch_path(spark, "explosions-by-day"))
+    return pr.bom_usage_latest(by_day, CFG)
+
+
+def _supplier_tasks_since(spark, sf_dir):
+    args = {"since": dt.datetime(1995, 6, 17), "task_id": CFG.capacity_task_id, "open_status": 2, "review_status": 5}
+    return sql_file_report(_src(spark, sf_dir), "supplier_tasks_since.sql", ["portal_task", "portal_part_supplier"], args=args)
+
+
+def _csv_rejected_rows(spark, sf_dir):
+    """The task table as CSV text with broken rows: what the reader sets aside, and how many rows it keeps."""
+    s = _src(spark, sf_dir)
+    root = scratch_path(spark, "csv-broken")
+    t = s["portal_task"]
+    status = F.when(F.col("PartSupplierTaskID") % 41 == 5, F.lit("n/a")).otherwise(F.col("StatusID").cast("string"))
+    broken = t.select(*[status.alias(c) if c == "StatusID" else F.col(c) for c in t.columns])
+    broken.write.option("header", True).csv(f"{root}/portal_task")
+    tasks = Sources.csv(spark, root)
+    rejected = tasks.rejected("portal_task").select(F.split("row", ",")[0].cast("bigint").alias("PartSupplierTaskID"), F.lit("rejected").alias("kind"))
+    return rejected.unionByName(tasks["portal_task"].select("PartSupplierTaskID", F.lit("read").alias("kind")))
+
+
+def _merge_counts(spark, sf_dir):
+    """Row counts taken while the merged report is written."""
+    counts = MergeCounts()
+    write_report(rep.merged_capacity_cost(_src(spark, sf_dir), CFG, counts), scratch_path(spark, "merged-counted"))
+    got = counts.get()
+    return spark.createDataFrame([tuple(got.values())], ", ".join(f"{k} bigint" for k in got))
+
+
 QUERIES: dict[str, Query] = {
     # capacity: building blocks
     "purchased_parts": lambda spark, sf: cap.purchased_parts(_src(spark, sf), CFG)
@@ -197,4 +264,12 @@ QUERIES: dict[str, Query] = {
     "dashboard_left_merge_sql_nulls": lambda spark, sf: rep.dashboard_left_merge(
         _src(spark, sf)["portal_dashboard"], _src(spark, sf)["erp_dashboard"], null_keys="never"),
     "sql_file_report": _sql_file_report,
+    "report_replace": _report_replace,
+    "snapshot_evolving": _snapshot_evolving,
+    "dashboard_merge_classes": _dashboard_merge_classes,
+    "three_key_merge_groups": _three_key_merge_groups,
+    "bom_usage_by_day": _bom_usage_by_day,
+    "supplier_tasks_since": _supplier_tasks_since,
+    "csv_rejected_rows": _csv_rejected_rows,
+    "merge_counts": _merge_counts,
 }

@@ -8,7 +8,10 @@
 Sources: ``--parquet DIR`` (one folder per domain table), ``--csv DIR``,
 ``--catalog DATABASE`` or ``--fixtures SF_DIR`` (tables derived from the test
 data).  ``--as-of`` pins the report time (default: now).  Output is written by
-parallel writers (parquet or CSV folders); nothing is collected to the driver.
+parallel writers (parquet or CSV folders) and published in one step; nothing is
+collected to the driver.  ``report merged`` prints the merge's row counts.  A
+snapshot takes the columns that its query has; ``--arg name=value`` sets the
+query's ``:name`` markers.  Scratch tables are deleted when the command ends.
 """
 
 from __future__ import annotations
@@ -19,18 +22,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from capstan.config import FIXTURE_CONFIG, Config
-from capstan.operators import append_snapshot, write_report
+from capstan.operators import MergeCounts, append_snapshot, write_report
 from capstan.plans import capacity as cap
 from capstan.plans import pricing as pr
 from capstan.plans import reports as rep
 from capstan.sources import Sources
-from capstan.sources.files import query_text
+from capstan.session import scratch_scope
+from capstan.sources.files import query_text, run_sql
 
 REPORTS: dict[str, Callable[[Sources, Config], DataFrame] | None] = {
-    "merged": rep.merged_capacity_cost,
+    "merged": None,                     # counted while it runs
     "capacity_v2": lambda s, c: cap.capacity_data(s, c, version=2),
     "capacity_v1": lambda s, c: cap.capacity_data(s, c, version=1),
     "task_status_list": cap.task_status_list,
@@ -81,22 +84,29 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     s.add_argument("--tables", nargs="+", required=True, help="domain tables the SQL reads")
     s.add_argument("--table", required=True, help="snapshot table folder")
     s.add_argument("--load-date", dest="load_date", default=dt.date.today().isoformat())
+    s.add_argument("--arg", action="append", default=[], metavar="NAME=VALUE", help="value of a :name marker (text)")
     s.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     a = ap.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName(f"capstan-{a.cmd}").getOrCreate()
+    with scratch_scope(spark):
+        _run(spark, a)
+
+
+def _run(spark: SparkSession, a: argparse.Namespace) -> None:
     sources, cfg = _sources(spark, a), _config(a)
-    if a.cmd == "report":
+    if a.cmd == "report" and a.name == "merged":
+        counts = MergeCounts()
+        write_report(rep.merged_capacity_cost(sources, cfg, counts), a.out, a.format)
+        print("merged: " + ", ".join(f"{k} {v}" for k, v in counts.get().items()))
+    elif a.cmd == "report":
         df = (cap.task_status_for_parts(sources, cfg, a.parts) if a.name == "task_status_for_parts"
               else REPORTS[a.name](sources, cfg))
         write_report(df, a.out, a.format)
     else:
-        sources.register_views(a.tables)
-        rows = spark.sql(query_text(a.sql, a.sql_dir)).withColumn("Load_Date", F.lit(a.load_date))
-        rows = rows.select("Load_Date", *[c for c in rows.columns if c != "Load_Date"])
-        schema = StructType([StructField(f.name, f.dataType if f.name != "Load_Date" else StringType())
-                             for f in rows.schema.fields])
-        append_snapshot(rows, a.table, schema, fmt=a.format)
+        rows = run_sql(sources, query_text(a.sql, a.sql_dir), a.tables, dict(x.split("=", 1) for x in a.arg))
+        rows = rows.withColumn("Load_Date", F.lit(a.load_date))
+        append_snapshot(rows.select("Load_Date", *[c for c in rows.columns if c != "Load_Date"]), a.table, fmt=a.format)
 
 
 if __name__ == "__main__":

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,10 +81,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the checkpoint directory (shared storage)."""
+_SCRATCH: list[str] = []                 # folders handed out, in order
+
+
+def scratch_path(spark: SparkSession, name: str, scoped: bool = True) -> str:
+    """A fresh, unique folder below the checkpoint directory (shared storage).
+
+    With ``scoped`` an enclosing ``scratch_scope`` deletes it at its end.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/capstan/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/capstan/{name}-{uuid.uuid4().hex[:12]}"
+    if scoped:
+        _SCRATCH.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders made inside the block when it ends (its results must be written by then)."""
+    start = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        conf, made = spark._jsc.hadoopConfiguration(), _SCRATCH[start:]
+        del _SCRATCH[start:]
+        for p in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def stored_table(df: DataFrame, name: str) -> DataFrame:
@@ -103,4 +128,4 @@ def clean_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-__all__ = ["clean_scratch", "DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "cut_lineage", "stored_table", "scratch_path"]
+__all__ = ["clean_scratch", "scratch_scope", "DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "cut_lineage", "stored_table", "scratch_path"]

@@ -59,10 +59,9 @@ class Sources:
         return cls(spark, lambda n: spark.read.parquet(f"{root}/{n}"))
 
     @classmethod
-    def csv(cls, spark: SparkSession, root: str, header: bool = True) -> "Sources":
-        """One CSV folder per table, read with the declared schema (no inference)."""
-        root = root.rstrip("/")
-        return cls(spark, lambda n: spark.read.schema(SCHEMAS[n]).option("header", header).csv(f"{root}/{n}"))
+    def csv(cls, spark: SparkSession, root: str, header: bool = True) -> "CsvSources":
+        """One CSV folder per table, read with the declared schema (no inference), header and rows checked."""
+        return CsvSources(spark, root, header)
 
     @classmethod
     def catalog(cls, spark: SparkSession, database: str) -> "Sources":
@@ -122,7 +121,7 @@ class Sources:
         sf_dir = sf_dir.rstrip("/")
         key = (spark.sparkContext.applicationId, sf_dir, _listing(spark, sf_dir))
         with _STORED_LOCK:
-            root, written = _STORED.setdefault(key, (scratch_path(spark, "fixtures"), set()))
+            root, written = _STORED.setdefault(key, (scratch_path(spark, "fixtures", scoped=False), set()))
 
         def table(n: str) -> DataFrame:
             return spark.read.parquet(f"{sf_dir}/{n}.parquet" if n in fixtures.DRIVER_TABLES else f"{root}/{n}")
@@ -159,6 +158,44 @@ class Sources:
         return Sources(self.spark, lambda n: _recollated(self[n], collation))
 
 
+BAD_ROW = "_bad_row"
+
+
+class CsvSources(Sources):
+    """CSV folders with declared schemas.
+
+    The header of every file must have the declared column names in their order, else
+    reading fails (two swapped columns of one type would go unnoticed otherwise).  A row
+    that does not fit the schema (a value of another type, missing or spare fields) is not
+    in the table: ``rejected(name)`` has its text and file, so that it is neither lost nor
+    turned into NULLs, and ``checked(name)`` raises if there is one.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, header: bool = True):
+        self._root, self._header = root.rstrip("/"), header
+        super().__init__(spark, lambda n: self._split(n, bad=False).drop(BAD_ROW))
+
+    def _split(self, name: str, bad: bool) -> DataFrame:
+        rows = (self.spark.read.schema(f"{SCHEMAS[name]}, {BAD_ROW} STRING").option("header", self._header).option("mode", "PERMISSIVE")
+                .option("enforceSchema", not self._header).option("columnNameOfCorruptRecord", BAD_ROW).csv(f"{self._root}/{name}"))
+        # the parser judges a row by the columns it is asked for: a condition on all of them (always
+        # true, though not to the optimizer) keeps the verdict the same whatever is selected later
+        all_columns = F.xxhash64(*[c for c in rows.columns if c != BAD_ROW]) >= F.lit(-(1 << 63))
+        text = F.coalesce(F.col(BAD_ROW), F.lit(""))
+        return rows.where(all_columns & (text != "" if bad else text == ""))
+
+    def rejected(self, name: str) -> DataFrame:
+        """(file, row): text of the rows of ``name`` that do not fit its schema."""
+        return self._split(name, bad=True).select(F.col("_metadata.file_path").alias("file"), F.col(BAD_ROW).alias("row"))
+
+    def checked(self, name: str) -> DataFrame:
+        """The table, after raising if any row of it was rejected (reads the files once more)."""
+        some = [r["row"] for r in self.rejected(name).limit(3).collect()]
+        if some:
+            raise ValueError(f"{name} has rows that do not fit its schema, for example: {some}")
+        return self[name]
+
+
 def plain(df: DataFrame) -> DataFrame:
     """``df`` with ordinary string columns."""
     return _recollated(df, "UTF8_BINARY")

@@ -7,11 +7,29 @@ from capstan.session import scratch_path
 SF = "/root/testdata/sf0.001"
 
 
-def test_report_command_writes_the_report(spark):
+def test_report_command_writes_the_report(spark, capsys):
     out = scratch_path(spark, "run-merged")
     main(["report", "merged", "--fixtures", SF, "--out", out], spark=spark)
     back = read_report(spark, out)
     assert len(back.columns) == 42 and back.count() > 0
+    said = capsys.readouterr().out
+    assert f"merged_rows {back.count()}" in said and "left_null_keys" in said and "matched_rows" in said
+
+
+def test_command_deletes_its_scratch_tables(spark):
+    from capstan import session
+    from capstan.operators.versions import Files
+    made = []
+    keep = session.scratch_path
+    out = keep(spark, "run-clean")
+    before = len(session._SCRATCH)
+    main(["report", "capacity_v2", "--fixtures", SF, "--out", out], spark=spark)
+    assert len(session._SCRATCH) == before and read_report(spark, out).count() > 0
+    with session.scratch_scope(spark):
+        made.append(session.scratch_path(spark, "inside"))
+        spark.range(3).write.parquet(made[0])
+        assert Files(spark, made[0]).exists(made[0])
+    assert not Files(spark, made[0]).exists(made[0])
 
 
 def test_parts_report_and_snapshot_command(spark):
