@@ -7,7 +7,9 @@ round the best-scored pair of every segment is found by a segmented minimum,
 all its leftmost non-overlapping occurrences merge at once, and the array is
 compacted, until no segment has a pair left.  A piece whose extension scores
 better than itself merges one occurrence a round, which keeps the order of a
-one-merge-at-a-time queue.
+one-merge-at-a-time queue; a long segment in which a round merges less than a 64th
+of the symbols (a run of blanks) is finished by such a queue, so the work stays
+near the length of the text.
 
 Segments are identified by 64-bit hashes within a task.  Defined cases: NULL and
 empty texts encode to the begin and end ids alone and decode to the empty text;
@@ -18,8 +20,10 @@ Repeated rows give repeated results; only doc_id and text are read.
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +34,7 @@ from capstan.llm.words import hash_runs, slices
 
 SPACE = "▁"                # stands for a space inside pieces
 _NONE = np.int32(2**31 - 1)     # rank of a pair that makes no piece
+LONG = 1024                     # symbols from which on a word may leave the rounds
 
 
 @dataclass
@@ -52,6 +57,11 @@ class Vocabulary:
     def size(self) -> int:
         return len(self.piece_offsets) - 1
 
+    @cached_property
+    def pairs(self) -> dict[int, tuple[int, int]]:
+        """left << 32 | right -> (rank, piece)."""
+        return dict(zip(self.pair_keys.tolist(), zip(self.pair_ranks.tolist(), self.pair_piece.tolist(), strict=True), strict=True))
+
 
 def load(path: str) -> Vocabulary:
     """Read a SentencePiece BPE model with byte fallback (identity normalisation, dummy prefix)."""
@@ -127,7 +137,17 @@ def merge(v: Vocabulary, code: np.ndarray, word: np.ndarray) -> tuple[np.ndarray
     rank = np.full(len(sym), _NONE, np.int32)
     if len(sym) > 1:
         rank[:-1] = np.where(word[:-1] == word[1:], _pair_ranks(v, sym[:-1], sym[1:]), _NONE)
+    stuck: list[int] = []                             # long words whose last round merged little
     while len(sym):
+        if stuck:
+            held = np.isin(word, stuck)
+            for w in stuck:
+                rest = _merge_by_heap(v, sym[word == w], rank[word == w])
+                done_sym.append(rest)
+                done_word.append(np.full(len(rest), w, word.dtype))
+            sym, word, rank, stuck = sym[~held], word[~held], rank[~held], []
+            if not len(sym):
+                break
         first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
         length = np.diff(np.concatenate([first, [len(sym)]]))
         best = np.minimum.reduceat(rank, first)
@@ -153,6 +173,10 @@ def merge(v: Vocabulary, code: np.ndarray, word: np.ndarray) -> tuple[np.ndarray
             leftmost[1:] = word[chosen[1:]] != word[chosen[:-1]]
             take &= ~slow | leftmost
         chosen = chosen[take]
+        if length.max() > LONG:
+            first = np.cumsum(length) - length
+            merged = np.diff(np.append(np.searchsorted(chosen, first), len(chosen)))
+            stuck = word[first[(length > LONG) & (merged * 64 < length)]].tolist()
         sym[chosen] = v.pair_piece[np.searchsorted(v.pair_keys, sym[chosen] << 32 | sym[chosen + 1])]
         gone = np.zeros(len(sym), bool)
         gone[chosen + 1] = True
@@ -175,6 +199,42 @@ def merge(v: Vocabulary, code: np.ndarray, word: np.ndarray) -> tuple[np.ndarray
     return sym[order], word[order]
 
 
+def _merge_by_heap(v: Vocabulary, sym: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The rest of one long word's merges, smallest (rank, place) first, over linked symbols: n log n steps for n symbols.
+
+    For words whose occurrences must be merged one at a time (a run of blanks or of one
+    letter), where every round over the flat arrays would merge next to nothing.
+    """
+    n, pairs = len(sym), v.pairs
+    s, r = sym.tolist(), rank.tolist()
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    r[-1] = _NONE
+    heap = [q << 40 | p for p, q in enumerate(r) if q < _NONE]
+    heapq.heapify(heap)
+    mask, none = (1 << 40) - 1, (_NONE, -1)
+    while heap:
+        top = heapq.heappop(heap)
+        p = top & mask
+        if r[p] != top >> 40:
+            continue                                  # the pair has changed since
+        q = after[p]
+        s[p] = pairs[s[p] << 32 | s[q]][1]
+        r[q] = -1                                     # gone
+        after[p] = z = after[q]
+        r[p] = _NONE
+        if z < n:
+            before[z] = p
+            r[p] = new = pairs.get(s[p] << 32 | s[z], none)[0] if s[z] >= 0 else _NONE
+            if new < _NONE:
+                heapq.heappush(heap, new << 40 | p)
+        a = before[p]
+        if a >= 0:
+            r[a] = new = pairs.get(s[a] << 32 | s[p], none)[0] if s[a] >= 0 else _NONE
+            if new < _NONE:
+                heapq.heappush(heap, new << 40 | a)
+    return np.array([s[p] for p in range(n) if r[p] >= 0], sym.dtype)
+
+
 def _to_ids(v: Vocabulary, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols outside the vocabulary become the ids of their UTF-8 bytes."""
     odd = np.flatnonzero((sym < 0) | (sym >= v.size))
