@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from capstan.llm.common import stored
 from capstan.llm.graph import components
 from capstan.llm.words import LOWER, hash_runs, mix, ngram_hashes, slices, words
+from capstan.operators.joins import join_splittable
 
 BITS = 2                          # low bits kept of each minimum
 _HALF = 0x5555555555555555        # one marker bit per 2-bit field
@@ -283,7 +284,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     full = signed.filter("doc_id is not null and n_shingles > 0")
     sets = full.groupBy("n_shingles", "x", "y").agg(F.min("doc_id").alias("rep"))
     # identical sets: one class, represented by its smallest doc_id
-    member = full.select("doc_id", "n_shingles", "x", "y").join(sets, ["n_shingles", "x", "y"]).select("doc_id", "rep").distinct()
+    member = (join_splittable(full.select("doc_id", "n_shingles", "x", "y"), sets, ["n_shingles", "x", "y"], "inner")
+              .select("doc_id", "rep").distinct())
     reps = stored(full.join(sets.select(F.col("rep").alias("doc_id"), "n_shingles", "x", "y"), ["doc_id", "n_shingles", "x", "y"],
                             "left_semi").dropDuplicates(["doc_id", "x", "y"]).select("doc_id", "sig", "keys"), "minhash-classes")
     rows = reps.select("doc_id", F.posexplode("keys").alias("band", "key"))

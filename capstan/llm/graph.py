@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from capstan.llm.common import stored
+from capstan.operators.joins import join_splittable
 
 
 def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
@@ -23,11 +24,12 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         # larger neighbours of x go to the smallest of x and its neighbours
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.filter("v > u").join(least, "u").filter("v <> m")
+        # (a hub's edges meet the hub's row: joins that can be split)
+        large = (join_splittable(both.filter("v > u"), least, ["u"], "inner").filter("v <> m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # smaller neighbours of x (and x) go to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        small = (join_splittable(large, low, ["u"], "inner").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
                  .filter("u <> v").distinct())
         e = stored(small, "edges")
         # a star forest: every child has one parent, and no parent is a child
