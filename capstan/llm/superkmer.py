@@ -328,8 +328,9 @@ def _kept(text: pa.Array, lo: pa.Array, hi: pa.Array, k: int) -> Iterator[tuple[
 
 
 def _with_ranges(docs: DataFrame, s: Settings) -> DataFrame:
+    # copies of a row have the same ranges: each range is kept once
     ranges = (removed_ranges(docs, s).groupBy("doc_id", "mark")
-              .agg(F.collect_list(F.struct("lo", "hi")).alias("r"))
+              .agg(F.collect_set(F.struct("lo", "hi")).alias("r"))
               .select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"),
                       F.col("r.lo").alias("_lo"), F.col("r.hi").alias("_hi")))
     return docs.join(ranges, (docs["doc_id"] == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_mark")), "left").drop("_id", "_mark")
