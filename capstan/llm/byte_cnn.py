@@ -223,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Network
     # half of the sample for each label, by the order of a hash
     sample = usable.filter("quality = 0").orderBy(draw).limit(s.fit_rows // 2).union(
         usable.filter("quality = 1").orderBy(draw).limit(s.fit_rows // 2))
-    picked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))   # at most fit_rows rows
+    picked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))   # at most fit_rows ids
     bound = s.fit_chunks * s.stride
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +237,9 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Network
                 out.append(raw)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), b.column(2)], ["doc_id", "raw", "quality"])
 
-    rows = picked.select("doc_id", "text", F.col("quality").cast("int")).mapInArrow(cut, "doc_id long, raw binary, quality int").collect()
+    # one row per id: of a repeated id the smallest text
+    one = picked.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("quality").cast("int").alias("quality"))
+    rows = one.mapInArrow(cut, "doc_id long, raw binary, quality int").collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["raw"])))
     y = np.array([r["quality"] for r in rows], np.float32)
     if not len(y) or y.min() == y.max():
