@@ -4,19 +4,26 @@ Pages of one host are read together, in groups of bounded size (a host with a
 third of all pages is many groups).  Tokens are start tags, end tags and text
 blocks, each with the path of elements around it.
 
-1. The occurrence vector of a token counts it on every distinct page of the group.
-   Tokens with one vector form an equivalence class; large classes that occur on
-   most pages are kept when valid, that is when their tokens come in one order
-   on every page.
+1. The occurrence vector of a token counts it on every distinct page of the group
+   (pages that differ outside their text only count once).  Tokens with one vector,
+   on more than half of the pages, form an equivalence class; it is valid when its
+   tokens come in one order, over and over, on every page that has them.
 2. Valid classes nest: a class lies in the slot between two neighbouring tokens
-   of another.  The class of tokens that occur once is the template's skeleton.
-3. The remaining slots hold the varying text.  Slots inside an article or main
-   element are the article; without one, the deepest skeleton element that holds
-   most of the varying text is.  Slots in menus, page headers, footers, sidebars,
-   notices, adverts, forms, scripts, styles and reader comments are left out, as
-   are blocks that the template repeats on every page outside an article.  A class,
-   id or role decides only below the article: on the page's body, its main or article
-   element, or the elements around the article it says nothing.
+   of another.  The class of tokens that occur once on every page is the template's
+   skeleton; a class that occurs several times in one slot of it makes the slot a
+   repeating one.
+3. A text block in a valid class is template and no content, inside an article or
+   not, from two distinct pages on: one that is on every page in its place among
+   the skeleton's tokens, or one that comes and goes with the element around it.
+   Where such blocks would take more than half of the article's text on most pages,
+   the pages are copies of one another, and their articles are left whole.
+4. The remaining slots hold the varying text.  Repeating slots whose text is all
+   links are lists of links.  The deepest skeleton element that holds most of the
+   other varying text is the article, unless pages have an article or main element
+   of their own.  Slots in menus, page headers, footers, sidebars, notices, adverts,
+   forms, scripts, styles and reader comments are left out.  A class, id or role
+   decides only below the article: on the page's body, its main or article element,
+   or the elements around the article it says nothing.
 
 A page without its group's article element, or alone on its host, is read by its
 own elements.  Defined cases: NULL or empty html gives the empty text; a NULL url
@@ -40,7 +47,6 @@ from pyspark.sql import functions as F
 from capstan.llm.common import stored
 
 GROUP = 64               # pages of a host looked at together
-SUPPORT = 8              # distinct pages that must repeat a text block before it counts as template
 
 # HTML element kinds and the usual names of page furniture.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -73,11 +79,19 @@ class Block:
     roots: tuple[tuple[int, int, int], ...]   # article elements around it, none within an article: number, whole marks, depth
     articles: tuple[str, ...]            # paths of the article elements around it, outermost first
     around: tuple[str, ...]              # paths of all elements around it
+    linked: bool                         # all of it is link text
+
+    @property
+    def token(self) -> tuple[str, str]:
+        return self.path, self.text
+
+
+Token = str | tuple[str, str]                              # a tag's path, or a text block's path and text
 
 
 @dataclass
 class Page:
-    tags: list[str] = field(default_factory=list)        # structural tokens in page order
+    tags: list[Token] = field(default_factory=list)      # all tokens in page order
     blocks: list[Block] = field(default_factory=list)
 
 
@@ -88,10 +102,18 @@ def parse(html: str) -> Page:
     serial: list[int] = []                                # of the elements on the stack
     parts: list[str] = []
     lowered = html.lower()
+    links, plain = 0, False                               # open links; text outside a link since the last block
+
+    def add(text: str) -> None:
+        nonlocal plain
+        parts.append(text)
+        plain = plain or (not links and bool(text.strip()))
 
     def flush() -> None:
+        nonlocal plain
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
+        linked, plain = not plain, False
         if text:
             # inline elements do not name a block
             path = next((f[1] for f in reversed(stack) if f[0] in BLOCK), "")
@@ -103,14 +125,17 @@ def parse(html: str) -> Page:
                     if name != "main":
                         break
             page.blocks.append(Block(text, path, bool(stack) and stack[-1][2], tuple((f[1], f[4]) for f in stack if f[4] is not None),
-                                     tuple(roots), tuple(f[1] for f in stack if f[3]), tuple(f[1] for f in stack)))
+                                     tuple(roots), tuple(f[1] for f in stack if f[3]), tuple(f[1] for f in stack), linked))
+            page.tags.append((path, text))
 
     def pop(count: int) -> None:
+        nonlocal links
         for _ in range(count):
             name, path = stack[-1][:2]
             if name in BLOCK:
                 flush()
             page.tags.append("/" + path)
+            links -= name == "a"
             stack.pop()
             serial.pop()
 
@@ -118,9 +143,9 @@ def parse(html: str) -> Page:
     while True:
         m = _TOKEN.search(html, at)
         if not m:
-            parts.append(html[at:])
+            add(html[at:])
             break
-        parts.append(html[at:m.start()])
+        add(html[at:m.start()])
         at = m.end()
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
@@ -168,6 +193,7 @@ def parse(html: str) -> Page:
                 close = html.find(">", stop)
                 at = close + 1 if close >= 0 else len(html)
             continue
+        links += name == "a"
         stack.append((name, path, furniture, name in ARTICLE or "article" in names, mark))
         serial.append(len(page.tags))
     pop(len(stack))
@@ -177,12 +203,13 @@ def parse(html: str) -> Page:
 
 @dataclass
 class Template:
-    skeleton: list[str]                   # tokens that occur once on a page, in order
+    skeleton: list[Token]                 # tokens that occur once on every page, in order
     slots: dict[tuple[str, str], int]     # neighbouring skeleton tokens -> characters of varying text between them
-    nested: dict[tuple[str, str], list[list[str]]]       # ... -> the classes that repeat there
+    nested: dict[tuple[str, str], list[list[Token]]]     # ... -> the valid classes that lie there
     element: str | None                   # path of the element that holds the article
-    constant: set[tuple[str, str]]        # (path, text) of blocks that the template repeats
+    constant: set[tuple[str, str]]        # text blocks of valid classes
     spared: set[str]                      # paths whose names of furniture say nothing, on pages without an article element
+    lists: set[str]                       # paths of repeating elements that hold links only
 
 
 def _spared(blocks: list[Block]) -> set[str]:
@@ -239,23 +266,28 @@ def _kept(blocks: list[Block], spared: set[str]) -> list[Block]:
 
 
 def deduce(pages: list[Page]) -> Template | None:
-    """Template of the distinct pages of a group; None when there are fewer than two."""
+    """Template of the distinct pages of a group; None when there are fewer than two that differ in their text."""
+    pages = list({tuple(b.token for b in p.blocks if not b.furniture): p for p in reversed(pages)}.values())[::-1]
     n = len(pages)
     if n < 2:
         return None
-    vector: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(n, np.int32))
+    on: dict[Token, int] = defaultdict(int)
+    for p in pages:
+        for t in set(p.tags):
+            on[t] += 1
+    vector = {t: np.zeros(n, np.int32) for t, c in on.items() if 2 * c > n}
     for k, p in enumerate(pages):
         for t in p.tags:
-            vector[t][k] += 1
-    classes: dict[bytes, list[str]] = defaultdict(list)
+            if t in vector:
+                vector[t][k] += 1
+    classes: dict[bytes, list[Token]] = defaultdict(list)
     for t, v in vector.items():
-        if 2 * np.count_nonzero(v) > n:
-            classes[v.tobytes()].append(t)
+        classes[v.tobytes()].append(t)
 
-    def valid(tokens: list[str]) -> list[str]:
+    def valid(tokens: list[Token]) -> list[Token]:
         """The class's order, if all its pages show its tokens round in that one order."""
         own = set(tokens)
-        order: list[str] = []
+        order: list[Token] = []
         for p in pages:
             seen = [t for t in p.tags if t in own]
             if not seen:
@@ -265,42 +297,79 @@ def deduce(pages: list[Page]) -> Template | None:
                 return []
         return order
 
+    def with_texts(tags: list[Token], texts: list[Token]) -> list[Token]:
+        """The order of valid ``tags`` with those text blocks that keep a place among them."""
+        order = valid(tags)
+        whole = valid(tags + texts) if texts else order
+        if whole or not order:
+            return whole
+        for t in texts:
+            order = valid([*order, t]) or order
+        return order
+
     ones = np.ones(n, np.int32).tobytes()
-    skeleton = valid(classes.pop(ones, []))
+    once = classes.pop(ones, [])
+    skeleton = with_texts([t for t in once if isinstance(t, str)], [t for t in once if not isinstance(t, str)])
     if not skeleton:
         return None
-    place = {t: i for i, t in enumerate(skeleton)}
-    slots: dict[tuple[str, str], int] = defaultdict(int)
-    times: dict[tuple[str, str], int] = defaultdict(int)
+    place = {t: i for i, t in enumerate(skeleton) if isinstance(t, str)}
+    constant = {t for t in skeleton if not isinstance(t, str)}
+    nested: dict[tuple[str, str], list[list[Token]]] = defaultdict(list)
+    repeated: set[str] = set()
+    for members in classes.values():
+        texts = [t for t in members if not isinstance(t, str)]
+        tags = [t for t in members if isinstance(t, str)]
+        order = with_texts(tags, [t for t in texts if on[t] == n or t[0] in tags])
+        if not tags:
+            order = [t for t in texts if on[t] == n]       # repeated on every page, in elements that hold other text too
+        constant.update(t for t in order if not isinstance(t, str))
+        order = [t for t in order if isinstance(t, str)]
+        homes = {_home(t, place) for t in order}
+        if len(order) > 1 and len(homes) == 1:             # the whole class lies in one slot
+            home = homes.pop()
+            nested[home, "/" + home].append(order)
+            if vector[order[0]].max() > 1:
+                repeated.update(t for t in order if not t.startswith("//"))
+    constant = _without_copies(pages, constant)
+    # repeating slots that hold links only
+    text: dict[str, bool] = {}
     for p in pages:
-        for key in {(b.path, b.text) for b in p.blocks}:
-            times[key] += 1
-    constant = {k for k, c in times.items() if n >= SUPPORT and c >= n}
-    opened = [t for t in skeleton if not t.startswith("//")]
+        for b in p.blocks:
+            for t in b.around:
+                if t in repeated:
+                    text[t] = text.get(t, True) and b.linked
+    lists = {t for t, linked in text.items() if linked}
+
+    opened = [t for t in skeleton if isinstance(t, str) and not t.startswith("//")]
     own = [p for p in pages if not _articles(p)]
-    spared = _around_half([(b, len(b.text)) for p in own for b in p.blocks if not b.furniture and (b.path, b.text) not in constant])
+    spared = _around_half([(b, len(b.text)) for p in own for b in p.blocks if not b.furniture and b.token not in constant])
+    slots: dict[tuple[str, str], int] = defaultdict(int)
     for p in pages:
         for b in _kept(p.blocks, _spared(p.blocks) if _articles(p) else spared):
-            if (b.path, b.text) not in constant:
+            if b.token not in constant and lists.isdisjoint(b.around):
                 inner = [t for t in b.around if t in place]
                 if inner:
                     slots[inner[-1], "/" + inner[-1]] += len(b.text)
-    nested: dict[tuple[str, str], list[list[str]]] = defaultdict(list)
-    for tokens in classes.values():
-        order = valid(tokens)
-        if len(order) < 2:
-            continue
-        homes = {_home(t, place) for t in order}
-        if len(homes) == 1:                                # the whole class lies in one slot
-            home = homes.pop()
-            nested[home, "/" + home].append(order)
     element = next((t for t in opened if t.rpartition("/")[2].split(".")[0] in ARTICLE), None)
     if element is None:
         total = sum(slots.values())
         inside = {t: sum(v for (a, _), v in slots.items() if a == t or a.startswith(t + "/")) for t in opened}
         fit = [t for t in opened if total and inside[t] >= 0.7 * total]
         element = max(fit, key=lambda t: t.count("/")) if fit else None
-    return Template(skeleton, dict(slots), dict(nested), element, constant, spared)
+    return Template(skeleton, dict(slots), dict(nested), element, constant, spared, lists)
+
+
+def _without_copies(pages: list[Page], constant: set[tuple[str, str]]) -> set[tuple[str, str]]:
+    """``constant`` without blocks of articles that are mostly made of it on most pages: those pages are copies."""
+    mostly, seen, inside = 0, 0, set()
+    for p in pages:
+        own = [b for b in p.blocks if b.articles and not b.furniture]
+        same = [b for b in own if b.token in constant]
+        if own:
+            seen += 1
+            mostly += 2 * sum(len(b.text) for b in same) > sum(len(b.text) for b in own)
+            inside.update(b.token for b in same)
+    return constant - inside if 2 * mostly > seen else constant
 
 
 def _home(token: str, place: dict[str, int]) -> str:
@@ -314,13 +383,15 @@ def _home(token: str, place: dict[str, int]) -> str:
 
 
 def extract(page: Page, template: Template | None) -> str:
-    """Blocks of the article slots in page order, joined by an empty line."""
+    """Blocks of the article slots in page order, joined by an empty line; blocks of the template's classes are left out."""
     deduced = template is not None and template.element is not None and not _articles(page)
     blocks = _kept(page.blocks, template.spared if deduced else _spared(page.blocks))
     chosen = [b for b in blocks if template and template.element in b.around]
     if not chosen or (not any(b.articles for b in chosen) and any(b.articles for b in blocks)):
-        chosen = [b for b in blocks if b.articles] or [
-            b for b in chosen or blocks if template is None or (b.path, b.text) not in template.constant]
+        chosen = [b for b in blocks if b.articles] or chosen or blocks
+    if template is not None:
+        # a page whose chosen part is template as a whole has no slot there: it is left as it is
+        chosen = [b for b in chosen if b.token not in template.constant and (b.articles or template.lists.isdisjoint(b.around))] or chosen
     return "\n\n".join(b.text for b in chosen)
 
 
