@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -142,30 +143,111 @@ def test_language_model(spark, documents, odd, empty):
     assert hpy.score_documents(empty).count() == 0
 
 
-def test_seating_keeps_customers():
+def test_tables_of_few_customers():
+    """One table for one customer, at most one a customer; two share with chance (1 - d) / (1 - d + a)."""
     rng = np.random.default_rng(2)
     customers = np.array([0, 1, 2, 5, 300, 40000])
-    start = np.full(6, 0.7)
-    dish, size = hpy.seat(customers, start, 0.8, rng)
     for _ in range(30):
-        assert np.bincount(dish, weights=size, minlength=6).tolist() == customers.tolist() and (size > 0).all()
-        assert (np.diff(dish) >= 0).all()
-        dish, size = hpy.sweep(dish, size, start, 0.8, rng)
-    tables = np.bincount(dish, minlength=6)
-    assert tables[1] == 1 and tables[0] == 0 and 1 <= tables[3] <= 5
-
-
-def test_sweeps_reach_the_exact_posterior():
-    """Two customers: the chance of one shared table is (1 - d) / (1 - d + a)."""
-    rng = np.random.default_rng(3)
+        tables = hpy.draw_tables(customers, np.full(6, 0.7), 0.8, rng)
+        assert tables[0] == 0 and tables[1] == 1 and (tables[2:] >= 1).all() and (tables <= customers).all()
     n, d, a = 4000, 0.5, 0.9
-    dish, size = hpy.seat(np.full(n, 2), np.full(n, a), d, rng)
-    for _ in range(3):
-        dish, size = hpy.sweep(dish, size, np.full(n, a), d, rng)
-    shared = (np.bincount(dish, minlength=n) == 1).mean()
+    shared = (hpy.draw_tables(np.full(n, 2), np.full(n, a), d, rng) == 1).mean()
     assert abs(shared - (1 - d) / (1 - d + a)) < 0.03
 
 
+def exact_tables(dishes, s):
+    """Mean tables of each dish {(word, room): customers}, over all seatings of the whole model."""
+    keys = list(dishes)
+
+    def stirling(c, d):
+        row = {1: 1.0}
+        for k in range(1, c):
+            row = {t: row.get(t - 1, 0) + (k - d * t) * row.get(t, 0) for t in range(1, k + 2)}
+        return row
+
+    def rise(x, step, n):
+        return math.prod(x + step * i for i in range(n))
+
+    words = {w for w, _ in keys}
+    total, mean = 0.0, np.zeros(len(keys))
+    for t in itertools.product(*[range(1, dishes[k] + 1) for k in keys]):
+        p = math.prod(stirling(dishes[k], s.discount)[x] for k, x in zip(keys, t, strict=True))
+        for room in {r for _, r in keys}:
+            p *= rise(s.strength, s.discount, sum(x for k, x in zip(keys, t, strict=True) if k[1] == room))
+        up = {w: sum(x for k, x in zip(keys, t, strict=True) if k[0] == w) for w in words}
+        # the parent: its tables summed out
+        inner = 0.0
+        for t0 in itertools.product(*[range(1, up[w] + 1) for w in sorted(words)]):
+            q = math.prod(stirling(up[w], s.parent_discount)[x] for w, x in zip(sorted(words), t0, strict=True))
+            inner += q * rise(s.parent_strength, s.parent_discount, sum(t0)) * (1 / (len(words) + 1)) ** sum(t0)
+        p *= inner / rise(s.parent_strength, 1, sum(t))
+        total += p
+        mean += p * np.array(t)
+    return mean / total
+
+
+@pytest.mark.parametrize("discount, strength", [(0.8, 2.0), (0.4, 0.5)])
+def test_sampler_reaches_the_exact_small_model(discount, strength):
+    """Rounds of sweeps with exchanged totals against all seatings of a small model."""
+    s = hpy.Settings(discount=discount, strength=strength, contexts=3, samples=1, sweeps=3)
+    dishes = {(0, 0): 4, (0, 1): 3, (1, 0): 2, (1, 2): 4, (2, 2): 1, (2, 0): 1}
+    word, ctx = (np.array([k[i] for k in dishes]) for i in (0, 1))
+    customers = np.array(list(dishes.values()))
+    got = []
+    for seed in range(1500):
+        # two buckets, words 0 and 1 in one and word 2 in the other, which is not moved: its dishes have one customer
+        own, apart = word < 2, np.bincount(ctx[word == 2], minlength=3).astype(float)
+        others = hpy.Totals(apart, 3.0, 3.0)
+        for r in range(3):
+            end = hpy.sample(word[own], ctx[own], customers[own], np.ones(2, np.int64), others, s, 10 * seed + r, False)
+            others = hpy.Totals(apart, 3.0, float(end.parent_tables[0].sum()) + 1.0)
+        got.append(hpy.sample(word[own], ctx[own], customers[own], np.ones(2, np.int64), others, s, 10 * seed + 9, True).tables[0])
+    want = exact_tables(dishes, s)
+    assert want[4] == want[5] == 1 and np.abs(np.mean(got, axis=0) - want[:4]).max() < 0.06
+
+
+@pytest.mark.parametrize("contexts", [1 << 16, 1 << 18])
+def test_score_against_a_plain_model(spark, contexts):
+    """With seatings that leave nothing to chance (one table a dish), every score is that of a plain dictionary model."""
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(70_000)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=400) + rng.choices(vocabulary[:30], k=100))) for i in range(400)]
+    tiny = 1e-9
+    s = hpy.Settings(contexts=contexts, discount=tiny, strength=tiny, parent_discount=tiny, parent_strength=tiny, unit_bytes=200_000, bucket_bytes=100_000)
+    u64 = lambda h: hpy.mix(np.array([h], np.uint64))[0]                                     # noqa: E731
+    room_of = {}
+
+    def room(w):
+        if w not in room_of:
+            if w is None:
+                h = hpy.START
+            else:
+                raw = np.frombuffer(w.encode(), np.uint8)
+                h = hpy.hash_runs(raw, np.array([0]), np.array([len(raw)]))[0]
+            room_of[w] = int(u64(h) % np.uint64(contexts))
+        return room_of[w]
+
+    pairs, rooms, types = Counter(), Counter(), defaultdict(set)
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 10:
+            for a, b in zip([None, *t.split()], [*t.split(), ""], strict=True):
+                pairs[room(a), b] += 1
+                rooms[room(a)] += 1
+                types[b].add(room(a))
+    tables = sum(map(len, types.values()))
+    assert len(rooms) > (40_000 if contexts > 1 << 16 else 30_000)
+    for r in hpy.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), s).collect():
+        words = rows[r.doc_id][1].split()
+        want = 0.0
+        for a, b in zip([None, *words], [*words, ""], strict=True):
+            c, parent = rooms[room(a)], len(types[b]) / tables
+            # without customers the restaurant passes everything up; an unknown word has next to nothing
+            want += math.log10(pairs[room(a), b] / c if pairs[room(a), b] else (tiny / c if c else 1.0) * max(parent, tiny))
+        if r.held_out:
+            continue                                       # their unseen pairs rest on the tiny numbers alone
+        assert abs(r.score - want) < 1e-3 * len(words)
+
+
 @pytest.mark.parametrize("c", [5, 300, 1500])
 @pytest.mark.parametrize("a", [0.05, 0.9, 40.0, 900.0])
 def test_sweeps_reach_the_exact_posterior_of_large_dishes(c, a):
@@ -181,24 +263,28 @@ def test_sweeps_reach_the_exact_posterior_of_large_dishes(c, a):
     p /= p.sum()
     mean = (p * t).sum()
     sd = math.sqrt((p * (t - mean) ** 2).sum())
-    dish, size = hpy.seat(np.full(n, c), np.full(n, a), d, rng)
-    for _ in range(3):
-        dish, size = hpy.sweep(dish, size, np.full(n, a), d, rng)
-    got = np.bincount(dish, minlength=n)
+    got = hpy.draw_tables(np.full(n, c), np.full(n, a), d, rng)
     assert abs(got.mean() - mean) < 5 * sd / math.sqrt(n) + 1e-9
     assert 0.8 * sd < got.std() + 0.02 and got.std() < 1.2 * sd + 0.02
 
 
-def test_plan_counts_all_words_and_dishes(spark, documents, empty):
-    """Exact at every size, however small the vocabulary or the units."""
+def test_rounds_count_all_words_and_tables(spark, documents, empty):
+    """Totals between rounds: exact words, a table a dish at least and a customer at most, per restaurant."""
     for df in (documents, documents.limit(20), empty):
         for s in (hpy.Settings(), hpy.Settings(unit_bytes=60_000, bucket_bytes=40_000)):
             rows = [[*split_words((r.text or "").translate(LOWER)), None] for r in df.collect() if zlib.crc32(str(r.doc_id).encode()) % 10]
             pairs = {(a, b) for ws in rows for a, b in zip([""] + ws, ws)}
             size = sum(len(w or "") for ws in rows for w in ws)
-            plan = hpy._plan(hpy._units(df, s), size, s)
-            assert plan.words == max(1, len({w for ws in rows for w in ws}))
-            assert 0.98 * len(pairs) <= plan.tables <= max(1, len(pairs))        # contexts may share a restaurant
+            units = hpy._units(df, s)
+            plan = hpy._plan(units, size, s)
+            shared = spark.sparkContext.broadcast(plan)
+            first = hpy._round(hpy._ask(units, shared, s), None, shared, s, 0)
+            totals = hpy._round(hpy._ask(units, shared, s), first, shared, s, 1).totals
+            if not len(plan.split):
+                assert totals.words == max(1, len({w for ws in rows for w in ws}))
+            assert abs(totals.words - max(1, len({w for ws in rows for w in ws}))) < 3
+            assert 0.98 * len(pairs) <= totals.tables.sum() and (totals.tables <= plan.c_context).all()       # contexts may share a restaurant
+            assert ((totals.tables > 0) == (plan.c_context > 0)).all()
 
 
 def test_model_is_normalised(spark, documents):
@@ -208,8 +294,9 @@ def test_model_is_normalised(spark, documents):
     plan = hpy._plan(units, 10_000_000, s)
     sc = spark.sparkContext
     shared = sc.broadcast(plan)
-    answers = hpy.stored(hpy._answer(hpy._ask(units, shared, s), shared, s), "t")
-    m = hpy._model(answers, plan, s)
+    totals = hpy._round(hpy._ask(units, shared, s), None, shared, s, 0)
+    answers = hpy.stored(hpy._answer(hpy._ask(units, shared, s), totals, shared, s), "t")
+    m = hpy._model(answers, totals, plan, s)
     # the parent: words with customers, words without, the unknown class
     net = np.zeros(s.samples)
     for r in answers.filter("kind = 3").collect():
