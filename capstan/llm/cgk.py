@@ -50,7 +50,7 @@ _PAD = np.uint64(0x5851F42D4C957F2D)
 class Settings:
     max_edits: float = 0.2        # of an item's words
     min_words: int = 8            # items of fewer words are looked up by exact word groups
-    shortest: int = 8             # least words of an item; 1: all that have a word
+    shortest: int = 1             # least words of an item; 1: all that have a word
     walks: int = 8
     draws: int = 6                # samplings per walk
     samples: int = 4              # steps in one sampling

@@ -107,3 +107,74 @@ def test_queue_and_rounds_agree(monkeypatch):
     plain = piece_bpe.Encoder(v).encode(raw, np.array([0, len(raw)]))[0]
     monkeypatch.setattr(piece_bpe, "LONG", 4)
     assert piece_bpe.Encoder(v).encode(raw, np.array([0, len(raw)]))[0].tolist() == plain.tolist()
+
+
+def plain_shards(rows, s):
+    """The whole sharding over Python lists: hashes, sample, ranges, parts, cells and slots (cells are dealt by ``deal``)."""
+    import bisect
+
+    import xxhash
+
+    def h64(*values):
+        seed = 42
+        for v in values:
+            if v is not None:
+                raw = v.encode() if isinstance(v, str) else int(v).to_bytes(8, "little", signed=True)
+                seed = xxhash.xxh64_intdigest(raw, seed=seed)
+        return seed - 2**64 if seed >= 2**63 else seed
+
+    def pmod(*values, n):
+        return h64(*values) % n
+
+    recs = [(i, len((t or "").encode()) + 1, h64(t or "")) for i, t in rows]
+    total = sum(size for _, size, _ in recs)
+    n_ranges = max(s.ranges, 64 * s.shards)
+    target = max(1, total // n_ranges)
+    by_key = {}
+    for _, size, key in recs:
+        by_key[key] = by_key.get(key, 0) + size
+    heavy = {k: b for k, b in by_key.items() if b > target}
+    drawn = sorted((key, max(size, total / s.sample)) for i, size, key in recs
+                   if key not in heavy and pmod(key, i, "draw", n=1 << 30) / float(1 << 30) < size * (s.sample / max(total, 1)))
+    splitters, weight, goal = [], 0.0, float(target)
+    for key, w in drawn:
+        weight += w
+        if weight >= goal and (not splitters or key > splitters[-1]):
+            splitters.append(key)
+            goal = weight + target
+    base, order = len(splitters) + 1, sorted(heavy)
+    named = []
+    for i, size, key in recs:
+        if key in heavy:
+            named.append((base + order.index(key), pmod(i, "cut", n=-(-heavy[key] // target)), i, size, key))
+        else:
+            named.append((bisect.bisect_right(splitters, key), 0, i, size, key))
+    filled = {}
+    for r, _, _, size, _ in named:
+        if r < base:
+            filled[r] = filled.get(r, 0) + size
+    over = {r: -(-b // target) for r, b in filled.items() if b > 2 * target}
+    named = [(r, pmod(key, "again", n=over[r]) if r in over else p, i, size, key) for r, p, i, size, key in named]
+    cells = {}
+    for r, p, _, size, _ in named:
+        b, n = cells.get((r, p), (0, 0))
+        cells[r, p] = (b + size, n + 1)
+    from capstan.llm.sharding import deal
+    placed = deal([(r, p, b, n) for (r, p), (b, n) in cells.items()], s.shards, base, {base + k for k, x in enumerate(order) if heavy[x] <= max(1, total // s.shards)})
+    out, seen = [], {}
+    for r, p, i, size, key in sorted(named, key=lambda x: (x[0], x[1], x[4], x[2] is not None, x[2] or 0)):
+        at = seen.get((r, p), 0)
+        seen[r, p] = at + 1
+        shard, before = placed[r, p]
+        out.append((i is None, i or 0, size, shard, before + at))
+    return sorted(out)
+
+
+def test_shards_against_a_plain_version(spark, documents, odd, empty):
+    from capstan.llm import sharding
+    hot = spark.createDataFrame([(i, "one hot text of many copies" if i % 3 else f"text {i} " * (i % 9)) for i in range(4000)], "doc_id long, text string")
+    for df in (documents, odd, hot, empty):
+        rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
+        for s in (sharding.Settings(), sharding.Settings(shards=3, ranges=16, sample=200)):
+            got = sorted((r.doc_id is None, r.doc_id or 0, r.size, r.shard, r.slot) for r in sharding.shard(df, s).collect())
+            assert got == plain_shards(rows, s)
