@@ -113,8 +113,9 @@ def price_lines(src: Sources, cfg: Config) -> DataFrame:
 
     The filter is the union of the open-price rule and the date-price rule;
     each rule re-applies its own filter on top.  Functions that need several
-    rules store this join once (``shared_lines``), so the line table is
-    scanned and shuffled once, whatever number of rules reads it.
+    rules store this join, with the part columns, once (``shared_lines``), so
+    the line and part tables are scanned and shuffled once, whatever number of
+    rules reads it.
     """
     statuses = sorted(set(cfg.open_po_statuses) | {cfg.date_priced_po_status})
     types = sorted(set(cfg.price_po_types) | {cfg.date_priced_po_type})
@@ -124,9 +125,17 @@ def price_lines(src: Sources, cfg: Config) -> DataFrame:
                      & F.col("LineStatus").isin(*line_statuses))
 
 
+def with_parts(src: Sources, lines: DataFrame) -> DataFrame:
+    """``lines`` with PartID, PartNumber and StockUnitID of their part (NULL where the ERP has no such part); lines that have them stay."""
+    if "PartNumber" in lines.columns:
+        return lines
+    parts = src["erp_part"].select(F.col("PartID").alias("LinePartID"), "PartID", "PartNumber", "StockUnitID")
+    return join_splittable(lines, parts, ["LinePartID"], "left", spread_nulls_by=["PurchaseOrderLineID"])
+
+
 def shared_lines(src: Sources, cfg: Config) -> DataFrame:
-    """``price_lines`` stored once in the shared checkpoint folder (an eager step)."""
-    return stored_table(price_lines(src, cfg), "price-lines")
+    """``price_lines`` with their parts, stored once in the shared checkpoint folder (an eager step)."""
+    return stored_table(with_parts(src, price_lines(src, cfg)), "price-lines")
 
 
 def _open_rule(cfg: Config):
@@ -143,14 +152,12 @@ def _date_rule(cfg: Config, nonzero_price: bool):
 
 def open_po_prices(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Priced lines of open/closed POs of the price-relevant types."""
-    lines = (price_lines(src, cfg) if lines is None else lines).where(_open_rule(cfg))
-    p = src["erp_part"].select("PartID", "PartNumber", "StockUnitID")
+    lines = with_parts(src, (price_lines(src, cfg) if lines is None else lines).where(_open_rule(cfg)))
     s = src["erp_supplier"].select(F.col("SupplierID").alias("__sid"), "SupplierCode",
                                    F.col("Name").alias("SupplierName"))
     c = src["erp_currency"].select(F.col("CurrencyID").alias("__cid"), "CurrencyCode",
                                    F.col("Name").alias("CurrencyName"), "ExchangeRate")
-    x = (lines.join(p, F.col("LinePartID") == F.col("PartID"), "left")
-         .join(s, F.col("POSupplierID") == F.col("__sid"), "left")
+    x = (lines.join(s, F.col("POSupplierID") == F.col("__sid"), "left")
          .join(c, F.col("POCurrencyID") == F.col("__cid"), "left"))
     return x.select(*[F.col(k).cast("double").alias(k) if k == "UnitPrice" else F.col(k) for k in PRICE_COLUMNS])
 
@@ -158,13 +165,12 @@ def open_po_prices(src: Sources, cfg: Config, lines: DataFrame | None = None) ->
 def date_priced_parts(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Parts with a pricing row starting on/before the cut-off and an open type-9 line."""
     lines = price_lines(src, cfg) if lines is None else lines
-    line_parts = (lines.where(_date_rule(cfg, nonzero_price=False))
-                  .select(F.col("LinePartID").alias("PartID")).distinct())
+    lines = with_parts(src, lines.where(_date_rule(cfg, nonzero_price=False)))
+    line_parts = lines.where(F.col("PartID").isNotNull()).select("PartID").distinct()
     # de-duplicated before the semi join: a hot part is one row of the right side
     priced = (src["erp_date_pricing"].where(F.col("StartDate") <= ts_lit(cfg.date_pricing_cutoff))
               .select("PartID").distinct())
-    return (line_parts.join(priced, "PartID", "left_semi")
-            .join(src["erp_part"].select("PartID"), "PartID", "left_semi"))
+    return line_parts.join(priced, "PartID", "left_semi")
 
 
 def non_date_priced(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
@@ -195,8 +201,8 @@ def date_based_prices(src: Sources, cfg: Config, lines: DataFrame | None = None)
     latest = latest.select(F.col("PartID").alias("LinePartID"), F.col("SupplierID").alias("POSupplierID"),
                            F.col("CurrencyID").alias("PricingCurrencyID"),
                            F.col("UnitPrice").cast("double").alias("PricingPrice"))
-    lines = (price_lines(src, cfg) if lines is None else lines).where(_date_rule(cfg, nonzero_price=True))
-    parts = src["erp_part"].select(F.col("PartID").alias("LinePartID"), "PartNumber", "StockUnitID")
+    lines = with_parts(src, (price_lines(src, cfg) if lines is None else lines).where(_date_rule(cfg, nonzero_price=True)))
+    lines = lines.where(F.col("PartID").isNotNull())
     suppliers = src["erp_supplier"].select(F.col("SupplierID").alias("POSupplierID"), "SupplierCode",
                                            F.col("Name").alias("SupplierName"))
     units = src["erp_unit"].select("UnitID")
@@ -214,7 +220,6 @@ def date_based_prices(src: Sources, cfg: Config, lines: DataFrame | None = None)
     rates = (month_end_fx(src, cfg).groupBy(F.col("FromCurrencyID").alias("__xf"), F.col("ToCurrencyID").alias("__xt"))
              .agg(F.max("ExchangeRate").alias("__rate")))
     x = (join_splittable(lines, latest, ["LinePartID", "POSupplierID"], "inner")
-         .join(parts, "LinePartID", "inner")
          .join(suppliers, "POSupplierID", "inner")
          .join(units, F.col("StockUnitID") == F.col("UnitID"), "left_semi")
          .join(units, F.col("PurchaseUnitID") == F.col("UnitID"), "left_semi")
@@ -230,7 +235,7 @@ def date_based_prices(src: Sources, cfg: Config, lines: DataFrame | None = None)
     price = (F.when(F.col("CF1").isNull() & F.col("CF2").isNull(), base)
              .when(F.col("CF1").isNotNull(), base / F.col("CF1"))
              .when(F.col("CF2").isNotNull(), base * F.col("CF2")))
-    x = x.withColumn("ExchangeRate", rate).withColumn("UnitPrice", price).withColumn("PartID", F.col("LinePartID"))
+    x = x.withColumn("ExchangeRate", rate).withColumn("UnitPrice", price)
     return x.select(*PRICE_COLUMNS)
 
 
