@@ -210,6 +210,9 @@ def info_rows(src: Sources, cfg: Config, version: int = 2, users: bool = True,
               parts: Sequence[str] | DataFrame | None = None) -> DataFrame:
     """Un-deduplicated info rows with every column a report variant needs.
 
+    Eager in one step: the parts side is written once below the checkpoint folder while
+    the plan is built (and with ``parts`` the chosen keys are counted).
+
     ``version`` 2: task status with PCR branch; 1: rollup flags over all
     capacity-like task names; 3: rollup restricted to the capacity task and
     joined only where a capacity task matched (task-status-for-parts report).
