@@ -445,7 +445,7 @@ def test_legacy_header_lines(version):
 def test_registry():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert sorted(QUERIES) == sorted(k for k in names if re.match(r"op\d+_", k)) and len(QUERIES) == 10
+    assert sorted(QUERIES) == sorted(k for k in names if re.match(r"op\d+_", k)) and len(QUERIES) == 13
     assert "pipeline" in names and set(ORACLE) <= set(QUERIES) and set(ORACLE) <= set(entry.oracle_sql())
 
 
