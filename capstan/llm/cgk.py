@@ -17,8 +17,8 @@ long window drift apart after many edits, and one of the parts always has its
 share of the edits at most); verification is over the whole item.  Only windows
 around which enough of an item's word groups occur are walked.  That loses
 nothing: within k edits, n words keep n - q + 1 - k * q of their q-word groups.
-Items are read in blocks of bounded size, each block against all documents; there
-is no shuffle.
+Items are read in blocks of bounded size; a pass over the documents cuts them into words
+once and searches several blocks.  There is no shuffle.
 
 Items of fewer than ``min_words`` words allow one edit at most: those without are
 looked up as a whole, the others by their halves, one of which is untouched by the
@@ -56,7 +56,8 @@ class Settings:
     samples: int = 4              # steps in one sampling
     segment: int = 16             # longer items are windowed by parts of about this many words
     group: int = 3                # words in the groups that a window must share
-    block_bytes: int = 4 << 20    # item text held at once
+    block_bytes: int = 4 << 20    # item text of an index
+    blocks: int = 4               # indexes that a pass over the documents holds
 
 
 @dataclass
@@ -234,15 +235,27 @@ def _distances(text: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return line[np.arange(rows), end], end
 
 
-def _matches(data: np.ndarray, offsets: np.ndarray, ix: Index) -> tuple[np.ndarray, ...]:
-    """(document, item, edits, end word) of every contaminated (document, item) of a slice."""
-    s = ix.settings
+@dataclass
+class _Slice:
+    """Documents cut into words, once for all indexes of a pass."""
+    h: np.ndarray                # word hashes
+    first: np.ndarray            # first word of each document
+    doc: np.ndarray              # document of each word
+    g: np.ndarray                # word groups
+
+
+def _cut(data: np.ndarray, offsets: np.ndarray, s: Settings) -> _Slice:
     data = LOWER[data]
     starts, ends, first = words(data, offsets)
     h = hash_runs(data, starts, ends)
+    return _Slice(h, first, np.repeat(np.arange(len(offsets) - 1), np.diff(first)), _group(h, s.group))
+
+
+def _matches(part: _Slice, ix: Index) -> tuple[np.ndarray, ...]:
+    """(document, item, edits, end word) of every contaminated (document, item) of a slice."""
+    s = ix.settings
+    h, first, doc, g = part.h, part.first, part.doc, part.g
     none = (np.zeros(0, np.int64),) * 4
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    g = _group(h, s.group)
     if not len(h):
         return none
     found = [np.zeros((0, 3), np.int64)]
@@ -302,6 +315,18 @@ def _blocks(benchmark: DataFrame, s: Settings) -> Iterator[Index]:
             yield index
 
 
+def _passes(benchmark: DataFrame, s: Settings) -> Iterator[list[Index]]:
+    """The indexes, some at a time: what one pass over the documents searches."""
+    held: list[Index] = []
+    for index in _blocks(benchmark, s):
+        held.append(index)
+        if len(held) == s.blocks:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 RESULT = "doc_id long, item_id long, edits long, end_word long"
 
 
@@ -310,19 +335,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     spark = docs.sparkSession
     source = docs.select("doc_id", "text")
     out = spark.createDataFrame([], RESULT)
-    for index in _blocks(benchmark, settings):
-        shared = spark.sparkContext.broadcast(index)
+    for indexes in _passes(benchmark, settings):
+        shared = spark.sparkContext.broadcast(indexes)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids_of = np.array([-1 if it.item_id is None else it.item_id for it in shared.value.items], np.int64)
-            null = np.array([it.item_id is None for it in shared.value.items])
             for b in batches:
                 ids = b.column(0).cast(pa.int64())
                 for lo, hi, data, off in slices(b.column(1)):
-                    d, i, edits, end = _matches(data, off, shared.value)
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.slice(lo, hi - lo).take(pa.array(d, pa.int64())), pa.array(ids_of[i], mask=null[i]), pa.array(edits), pa.array(end)],
-                        ["doc_id", "item_id", "edits", "end_word"])
+                    part = _cut(data, off, settings)
+                    for ix in shared.value:
+                        d, i, edits, end = _matches(part, ix)
+                        found = [ix.items[k].item_id for k in i.tolist()]
+                        yield pa.RecordBatch.from_arrays(
+                            [ids.slice(lo, hi - lo).take(pa.array(d, pa.int64())), pa.array(found, pa.int64()), pa.array(edits), pa.array(end)],
+                            ["doc_id", "item_id", "edits", "end_word"])
 
         out = out.unionByName(source.mapInArrow(run, RESULT))
     return out
@@ -330,13 +356,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents that hold no item, every column unchanged."""
-    for index in _blocks(benchmark, settings):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for indexes in _passes(benchmark, settings):
+        shared = docs.sparkSession.sparkContext.broadcast(indexes)
 
         def clean(batch: pa.RecordBatch, shared=shared) -> np.ndarray:
             ok = np.ones(batch.num_rows, bool)
             for lo, _, data, off in slices(column(batch, "text")):
-                ok[lo + _matches(data, off, shared.value)[0]] = False
+                part = _cut(data, off, settings)
+                for ix in shared.value:
+                    ok[lo + _matches(part, ix)[0]] = False
             return ok
 
         docs = keep_rows(docs, clean)

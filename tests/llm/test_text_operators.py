@@ -325,7 +325,9 @@ def test_registered_queries_search_short_items(spark, tmp_path):
 def test_decontamination_on_odd_tables(spark, odd, empty):
     item = next(t for _, t in odd_texts() if t and len(split_words(t)) == 40)
     bench = spark.createDataFrame([(1, item), (2, item), (3, None), (4, ""), (5, "two words"), (None, item)], "item_id long, text string")
-    got = cgk.contaminated(odd, bench).collect()
+    got = cgk.contaminated(odd, bench, cgk.Settings(shortest=8)).collect()
+    short = cgk.contaminated(odd, bench).collect()             # by default items of every length
+    assert {(r.doc_id, r.item_id) for r in short} - {(r.doc_id, r.item_id) for r in got} == {(12, 5)}
     assert {r.item_id for r in got} == {1, 2, None} and {21, 24, 27, 30, 33} <= {r.doc_id for r in got}
     assert cgk.drop_contaminated(odd, bench).schema == odd.schema
     nothing = spark.createDataFrame([], "item_id long, text string")
