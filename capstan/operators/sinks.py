@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from capstan.operators.versions import current, publish
+from capstan.operators.versions import Files, current, publish
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
@@ -27,8 +27,13 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", partition_by: l
 
 
 def report_location(spark: SparkSession, path: str) -> str:
-    """The plain folder of part files that holds the current report."""
+    """The plain folder of part files that holds the current report.
+
+    A finished report that was written straight into ``path`` counts until the first replace.
+    """
     folder = current(spark, path)
+    if folder is None and Files(spark, path).exists(f"{path.rstrip('/')}/_SUCCESS"):
+        return path
     if folder is None:
         raise FileNotFoundError(f"no report was published at {path}")
     return folder

@@ -96,6 +96,8 @@ def publish(spark: SparkSession, folder: str, write: Callable[[str], None], keep
         files.delete(target)
         raise
     for old, changed in files.names(f"{folder}/{VERSIONS}").items():
+        if not old.split("-")[0].isdigit():
+            continue                                       # not a version
         finished = files.exists(f"{folder}/{VERSIONS}/{old}/_SUCCESS")
         if int(old.split("-")[0]) < number - keep or (old not in (name, before) and (finished or changed < time.time() - STALE_SECONDS)):
             files.delete(f"{folder}/{VERSIONS}/{old}")

@@ -98,6 +98,17 @@ def test_failed_replace_leaves_the_old_report(spark):
         assert len(Files(spark, path).names(f"{path}/{VERSIONS}")) == 2
 
 
+def test_report_written_straight_into_its_folder_is_read_until_replaced(spark):
+    path = scratch_path(spark, "report-plain")
+    _hist(spark).write.parquet(path)
+    assert read_report(spark, path).count() == 2
+    write_report(read_report(spark, path).limit(1), path)
+    assert read_report(spark, path).count() == 1
+    spark.range(3).write.parquet(f"{path}/.versions/notes")            # not a version: left alone
+    write_report(_hist(spark), path)
+    assert read_report(spark, path).count() == 2 and spark.read.parquet(f"{path}/.versions/notes").count() == 3
+
+
 def test_publishing_fails_before_the_pointer_changes(spark, monkeypatch):
     import pytest
     from capstan.operators import versions
