@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.operators.sinks import read_report, write_report
+from capstan.session import stored_table
+
+TILE = 1 << 12                            # rows of one key, on each side, that are joined at once
+MAX_TILE_PARTITIONS = 4096
 
 
 def null_safe_merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
@@ -31,6 +35,9 @@ def null_safe_merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     execution can split a right-side key holding a large share of the rows
     (a left outer join can only be split on its left side).  The left input
     is read by both branches; use it where the left side is cheap to read.
+    Keys with more than ``TILE`` x ``TILE`` pairs of rows are found first (an
+    eager count of both sides' keys) and their pairs dealt over tasks: a key
+    with few bytes but many pairs is never split by adaptive execution.
 
     ``counts`` (left merges without ``hot_right_keys``) counts rows while the
     merge runs: see ``MergeCounts``.
@@ -53,7 +60,7 @@ def null_safe_merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     else:
         cond = [F.col(k) == F.col(f"__rk_{k}") for k in on]
     if hot_right_keys and how == "left":
-        matched = l.join(r, cond, "inner")
+        matched = _tiled(l, r, on, cond)
         keys = r.select(*[f"__rk_{k}" for k in on]).distinct()
         unmatched = l.join(keys, cond, "left_anti")
         joined = matched.unionByName(unmatched, allowMissingColumns=True)
@@ -70,6 +77,37 @@ def null_safe_merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     return joined if counts is None else counts.watch_result(joined).drop("__matched")
 
 
+def _tiled(l: DataFrame, r: DataFrame, on: Sequence[str], cond: list[Column]) -> DataFrame:
+    """``l.join(r, cond, "inner")`` with the pairs of a hot key dealt over many tasks.
+
+    The rows of a hot key are cut into slices of about ``TILE`` on either side, and every
+    left slice meets every right slice in a tile of its own; a row is copied once for each
+    slice of the other side.  Hot rows are stored with their slice, so that a task that runs
+    again finds them in the same one.
+    """
+    theirs = [f"__rk_{k}" for k in on]
+    left_rows, right_rows = l.groupBy(*on).agg(F.count(F.lit(1)).alias("__l")), r.groupBy(*theirs).agg(F.count(F.lit(1)).alias("__r"))
+    # keys of TILE**2 pairs or more have 2 * TILE rows at least: few beside the rows
+    hot = stored_table(left_rows.join(right_rows, cond, "inner").where(F.col("__l") > F.lit(TILE * TILE) / F.col("__r"))
+                       .select(*[F.col(k).alias(f"__hk_{k}") for k in on], F.monotonically_increasing_id().alias("__class"),
+                               F.ceil(F.col("__l") / TILE).alias("__a"), F.ceil(F.col("__r") / TILE).alias("__b")), "merge-hot-keys")
+    tiles = hot.agg(F.sum(F.col("__a") * F.col("__b"))).first()[0]
+    if not tiles:
+        return l.join(r, cond, "inner")
+    chosen = F.broadcast(hot)
+
+    def sliced(rows: DataFrame, keys: Sequence[str], own: str, other: str, i: str, j: str) -> DataFrame:
+        found = rows.join(chosen, [F.col(k).eqNullSafe(F.col(f"__hk_{n}")) for k, n in zip(keys, on)], "inner")
+        found = found.select(*rows.columns, "__class", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col(own)).alias(i), other)
+        return (stored_table(found, "merge-hot-rows")
+                .select(*rows.columns, "__class", i, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)).alias(j))
+                .repartition(min(tiles, MAX_TILE_PARTITIONS), "__class", "__i", "__j"))
+
+    pairs = sliced(l, on, "__a", "__b", "__i", "__j").hint("merge").join(sliced(r, theirs, "__b", "__a", "__j", "__i").hint("merge"), ["__class", "__i", "__j"], "inner")
+    cold = l.join(chosen, [F.col(k).eqNullSafe(F.col(f"__hk_{k}")) for k in on], "left_anti").join(r, cond, "inner")
+    return cold.unionByName(pairs.select(*cold.columns))
+
+
 class MergeCounts:
     """Row counts of a left merge, taken while it runs (``DataFrame.observe``): no second pass.
 

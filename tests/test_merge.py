@@ -81,3 +81,22 @@ def test_counts_are_taken_in_the_same_run(spark):
     assert len(rows) == len(want) and out.columns == ["a", "b_x", "v_x", "x", "b_y", "v_y", "y"]
     with pytest.raises(ValueError):
         null_safe_merge(left, right, ["a"], hot_right_keys=True, counts=MergeCounts())
+
+
+def test_pairs_of_a_hot_key_are_dealt_over_tasks(spark, monkeypatch):
+    """A key with few bytes and many pairs: 300 x 200 NULLs with copies among them."""
+    from capstan.operators import merge
+    monkeypatch.setattr(merge, "TILE", 16)
+    left = spark.range(400).select(F.when(F.col("id") >= 300, (F.col("id") % 7).cast("string")).alias("a"), (F.col("id") % 3).alias("v"))
+    right = spark.range(260).select(F.when(F.col("id") >= 200, (F.col("id") % 9).cast("string")).alias("a"), (F.col("id") % 50).alias("w"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = null_safe_merge(left, right, ["a"], hot_right_keys=True)
+        sizes = [r["count"] for r in got.where("a is null").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 300 * 200 and max(sizes) < 300 * 200 // 8
+        assert sorted(map(str, got.collect())) == sorted(map(str, null_safe_merge(left, right, ["a"]).collect()))
+        never = null_safe_merge(left, right, ["a"], hot_right_keys=True, null_keys="never")
+        assert sorted(map(str, never.collect())) == sorted(map(str, null_safe_merge(left, right, ["a"], null_keys="never").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
