@@ -170,9 +170,12 @@ def latest_current_capacity(src: Sources, cfg: Config) -> DataFrame:
                          "Designed", "Theoretical", "CapacityType")
 
 
-def capacity_lines(src: Sources, cfg: Config) -> DataFrame:
+def capacity_lines(src: Sources, cfg: Config, tasks: DataFrame | None = None) -> DataFrame:
     """Both latest-line lookups side by side: one row per task that has either kind of line.
 
+    With ``tasks`` lines that belong to none of them are left out before the window's shuffle
+    (all but a few; their number is counted while the plan is built).
+
     Columns: PartSupplierTaskID, QuoteDate, Quoted, Other4CreateDate,
     Measured, Potential, Designed, Theoretical.
     """
@@ -181,6 +184,8 @@ def capacity_lines(src: Sources, cfg: Config) -> DataFrame:
     current = (F.col("CapacityType") == C.CAPACITY_CURRENT) & _has_amount()
     lines = src["portal_capacity_line"].where(F.col("CapacityType").isin(C.CAPACITY_CONTRACT, C.CAPACITY_CURRENT)
                                               & (contract | current))
+    if tasks is not None:
+        lines = key_filter(lines, tasks, "PartSupplierTaskID")
     latest = latest_per_key(lines, ["PartSupplierTaskID", "CapacityType"], _line_order())
 
     def of(kind: str, value):
@@ -290,8 +295,9 @@ def capacity_data(src: Sources, cfg: Config, version: int = 2) -> DataFrame:
                     F.col("SupplierName").alias("CapSupplierName"),
                     F.col("LatestEndDate").alias("LatestEffectiveDate"))
             .distinct())
-    # parts without a capacity task have a NULL task id: spread, they match no line
-    x = join_splittable(info, capacity_lines(src, cfg), ["PartSupplierTaskID"], "left", spread_nulls_by=["PartID", "SupplierCode"])
+    # parts without a capacity task have a NULL task id: spread, they match no line; lines of other tasks match no part
+    x = join_splittable(info, capacity_lines(src, cfg, capacity_tasks(src, cfg)), ["PartSupplierTaskID"], "left",
+                        spread_nulls_by=["PartID", "SupplierCode"])
     return x.select(*[F.col(c) for c in REPORT_COLUMNS if c not in ("MeasuredStatus", "DesignedStatus")],
                     capacity_status(F.col("Measured"), F.col("Quoted"), "Measured").alias("MeasuredStatus"),
                     capacity_status(F.col("Designed"), F.col("Quoted"), "Designed").alias("DesignedStatus")
