@@ -135,7 +135,7 @@ def with_parts(src: Sources, lines: DataFrame) -> DataFrame:
 
 def shared_lines(src: Sources, cfg: Config) -> DataFrame:
     """``price_lines`` with their parts, stored once in the shared checkpoint folder (an eager step)."""
-    return stored_table(with_parts(src, price_lines(src, cfg)), "price-lines")
+    return stored_table(with_parts(src, price_lines(src, cfg).drop("PurchaseOrderID")), "price-lines")
 
 
 def _open_rule(cfg: Config):
@@ -176,8 +176,10 @@ def date_priced_parts(src: Sources, cfg: Config, lines: DataFrame | None = None)
 def non_date_priced(src: Sources, cfg: Config, lines: DataFrame | None = None) -> DataFrame:
     """Open-PO prices of parts without date-based pricing (rows with NULL part kept)."""
     lines = shared_lines(src, cfg) if lines is None else lines
-    return join_splittable(open_po_prices(src, cfg, lines), date_priced_parts(src, cfg, lines), ["PartID"], "left_anti",
+    # before the names of supplier and currency are joined: fewer and narrower rows travel
+    kept = join_splittable(with_parts(src, lines.where(_open_rule(cfg))), date_priced_parts(src, cfg, lines), ["PartID"], "left_anti",
                            spread_nulls_by=["PurchaseOrderLineID"])
+    return open_po_prices(src, cfg, kept)
 
 
 def month_end_fx(src: Sources, cfg: Config) -> DataFrame:

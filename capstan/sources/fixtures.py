@@ -21,6 +21,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 FILTERED = ("portal_part_supplier", "erp_dashboard", "snapshot_increment")
+#: Tables stored by order key: (input that is dealt, its column, the table's column).
+BUCKETED = {"line1": ("lineitem", "l_orderkey", "l_orderkey"), "erp_po": ("orders", "o_orderkey", "PurchaseOrderID")}
+BUCKET_BYTES = 8 << 20                    # bytes of the driver tables for each bucket
+#: Tables that are columns of the stored line items: read from there, not stored.
+VIEWS = ("portal_part_tag", "erp_part_tag", "erp_po_line")
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 

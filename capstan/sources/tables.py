@@ -116,25 +116,45 @@ class Sources:
         A table is written when it is first asked for, after the tables that
         it derives from (those of one level as concurrent jobs), so a query
         writes what it needs only and reports scan stored tables as they
-        would in production.  The folder lies under ``spark.checkpoint.dir``.
+        would in production.  The tables of ``fixtures.BUCKETED`` are stored
+        by order, so that joins on it read them without a shuffle,
+        and those of ``fixtures.VIEWS`` are read from the line items stored
+        so, not written again.  The folder lies under ``spark.checkpoint.dir``.
         """
         sf_dir = sf_dir.rstrip("/")
-        key = (spark.sparkContext.applicationId, sf_dir, _listing(spark, sf_dir))
+        listing = _listing(spark, sf_dir)
+        key = (spark.sparkContext.applicationId, sf_dir, listing)
+        buckets = max(8, sum(size for _, size, _ in listing) // fixtures.BUCKET_BYTES + 1)
         with _STORED_LOCK:
             root, written = _STORED.setdefault(key, (scratch_path(spark, "fixtures", scoped=False), set()))
 
         def table(n: str) -> DataFrame:
-            return spark.read.parquet(f"{sf_dir}/{n}.parquet" if n in fixtures.DRIVER_TABLES else f"{root}/{n}")
+            if n in fixtures.DRIVER_TABLES:
+                return spark.read.parquet(f"{sf_dir}/{n}.parquet")
+            if n in fixtures.VIEWS:
+                return derived(n)
+            return spark.read.table(bucketed(n)) if n in fixtures.BUCKETED else spark.read.parquet(f"{root}/{n}")
+
+        def bucketed(n: str) -> str:
+            return f"default.{root.rsplit('/', 1)[-1].replace('-', '_')}_{n}"
+
+        def derived(n: str, **inputs: DataFrame) -> DataFrame:
+            return spark.sql(fixtures.render(n, "spark"), **{i: inputs[i] if i in inputs else table(i) for i in fixtures.ADAPTERS[n].inputs})
 
         def write(n: str) -> None:
-            ad = fixtures.ADAPTERS[n]
-            df = spark.sql(fixtures.render(n, "spark"), **{i: table(i) for i in ad.inputs})
-            df.write.mode("overwrite").parquet(f"{root}/{n}")
+            if n not in fixtures.BUCKETED:
+                derived(n).write.mode("overwrite").parquet(f"{root}/{n}")
+                return
+            source, theirs, ours = fixtures.BUCKETED[n]
+            # dealt by the bucket key before any window: one shuffle, one file per bucket
+            rows = derived(n, **{source: table(source).repartition(buckets, theirs)})
+            (rows.write.mode("overwrite").format("parquet").option("compression", "zstd").option("path", f"{root}/{n}")
+             .bucketBy(buckets, ours).saveAsTable(bucketed(n)))
 
         def load(n: str) -> DataFrame:
             with _STORED_LOCK:
                 for level in fixtures.levels([n]):
-                    missing = [x for x in level if x not in written]
+                    missing = [x for x in level if x not in written and x not in fixtures.VIEWS]
                     with ThreadPoolExecutor(max_workers=4) as pool:
                         list(pool.map(write, missing))
                     written.update(missing)
