@@ -132,7 +132,7 @@ class Sources:
             if n in fixtures.DRIVER_TABLES:
                 return spark.read.parquet(f"{sf_dir}/{n}.parquet")
             if n in fixtures.VIEWS:
-                return derived(n)
+                return _nullable(derived(n))
             return spark.read.table(bucketed(n)) if n in fixtures.BUCKETED else spark.read.parquet(f"{root}/{n}")
 
         def bucketed(n: str) -> str:
@@ -226,6 +226,11 @@ def _recollated(df: DataFrame, collation: str) -> DataFrame:
                        for f in df.schema.fields])
 
 
+def _nullable(df: DataFrame) -> DataFrame:
+    """``df`` with columns that may be NULL by schema, as those of a stored table (the optimizer drops the condition)."""
+    return df.select(*[F.col(f.name) if f.nullable else F.when(F.lit(1) == F.lit(1), F.col(f.name)).alias(f.name) for f in df.schema.fields])
+
+
 def _listing(spark: SparkSession, folder: str) -> tuple:
     """Name, size and time of the files of the driver tables: stored tables are not served after they change."""
     path = spark._jvm.org.apache.hadoop.fs.Path
